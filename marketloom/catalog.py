@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.functions import edge
-from marketloom.plans import marts, staging, star
+from marketloom.plans import marts, reports, staging, star
 from marketloom.sources import testtables as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,3 +230,102 @@ def product_aggregate(spark, sf):
 @query
 def repeat_buyers(spark, sf):
     return marts.repeat_buyers(*product_inputs(spark, sf))
+
+
+# --- reports --------------------------------------------------------------------------
+
+
+@query
+def report_enriched_orders(spark, sf):
+    return reports.enriched_orders(
+        raw.raw_orders(spark, sf),
+        raw.raw_order_items(spark, sf),
+        raw.raw_order_reviews(spark, sf),
+        raw.raw_customers(spark, sf),
+    )
+
+
+@query
+def report_monthly_trend(spark, sf):
+    return reports.monthly_trend(report_enriched_orders(spark, sf))
+
+
+@query
+def report_peak_month(spark, sf):
+    return reports.peak_month(report_enriched_orders(spark, sf))
+
+
+@query
+def rfm_qcut_scores(spark, sf):
+    return reports.rfm_scores(report_enriched_orders(spark, sf))
+
+
+@query
+def report_rfm_segments(spark, sf):
+    return reports.rfm_segments(report_enriched_orders(spark, sf))
+
+
+def lead_inputs(spark, sf):
+    return raw.raw_marketing_qualified_leads(spark, sf), raw.raw_closed_deals(spark, sf)
+
+
+@query
+def report_channel_conversion(spark, sf):
+    return reports.channel_conversion(*lead_inputs(spark, sf))
+
+
+@query
+def report_overall_conversion(spark, sf):
+    return reports.overall_conversion(*lead_inputs(spark, sf))
+
+
+@query
+def report_top_categories(spark, sf):
+    return reports.top_categories(
+        raw.raw_order_items(spark, sf), raw.raw_products(spark, sf), raw.raw_category_translation(spark, sf)
+    )
+
+
+@query
+def report_delivery_histogram(spark, sf):
+    return reports.delivery_histogram(report_enriched_orders(spark, sf))
+
+
+@query
+def report_delivery_summary(spark, sf):
+    return reports.delivery_summary(report_enriched_orders(spark, sf))
+
+
+@query
+def report_late_rate_by_state(spark, sf):
+    return reports.late_rate_by_state(report_enriched_orders(spark, sf))
+
+
+@query
+def report_seller_lorenz(spark, sf):
+    return reports.seller_lorenz(raw.raw_order_items(spark, sf))
+
+
+@query
+def report_seller_tiers(spark, sf):
+    return reports.seller_tiers(raw.raw_order_items(spark, sf))
+
+
+@query
+def report_state_demand(spark, sf):
+    return reports.state_demand(report_enriched_orders(spark, sf))
+
+
+@query
+def report_payment_types(spark, sf):
+    return reports.payment_types(raw.raw_order_payments(spark, sf))
+
+
+@query
+def report_installments(spark, sf):
+    return reports.installments(raw.raw_order_payments(spark, sf))
+
+
+@query
+def report_business_summary(spark, sf):
+    return reports.business_summary(report_enriched_orders(spark, sf), *lead_inputs(spark, sf))

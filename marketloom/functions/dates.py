@@ -19,9 +19,13 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 
 def elapsed_days(later: Column, earlier: Column) -> Column:
-    """Whole 24-hour periods between two timestamps, floored (-1 for half a day back)."""
-    seconds = F.unix_seconds(later.cast("timestamp")) - F.unix_seconds(earlier.cast("timestamp"))
-    return F.floor(seconds / F.lit(86400.0)).cast("bigint")
+    """Whole 24-hour periods between two timestamps, floored (-1 for half a day back).
+
+    Calendar days, less one when that many days after ``earlier`` is past ``later``.
+    """
+    days = F.datediff(later, earlier)
+    overshoot = (earlier + F.make_dt_interval(days)) > later
+    return days - F.when(overshoot, 1).otherwise(0)
 
 
 def month_start(c: Column | str) -> Column:

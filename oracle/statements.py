@@ -1,5 +1,6 @@
 """Query name -> DuckDB SQL over the given tables."""
 
+from oracle import reports
 from oracle.compose import compose
 
 _PLAIN = (
@@ -34,3 +35,4 @@ def _edge(name: str) -> str:
 
 
 STATEMENTS: dict[str, str] = {name: compose(_edge(name)) for name in _PLAIN}
+STATEMENTS.update({name: compose(body) for name, body in reports.BODIES.items()})
