@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-
-from marketloom.functions import edge
-from marketloom.plans import marts, reports, staging, star
+from pyspark.sql import functions as F
+
+from marketloom.functions import edge, labels, percent, rounded
+from marketloom.operators import assertions, quality, ranking, summaries
+from marketloom.plans import marts, quality_core, quality_geo, reports, staging, star
+from marketloom.plans import table_tests as tests
+from marketloom.session import scratch_path
+from marketloom.sources import files, ingest, sinks
 from marketloom.sources import testtables as raw
+from marketloom.sources.registry import DATASETS, DATE_COLUMNS
+from marketloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,6 +95,17 @@ def geography(spark, sf):
     return star.dim_geography(raw.raw_geolocation(spark, sf), raw.state_meta(spark, sf))
 
 
+@query
+def dim_date(spark, sf):
+    """Calendar over the range of order days, with the orders placed on each day."""
+    placed = stg_orders(spark, sf).groupBy("purchase_date").agg(F.count(F.lit(1)).alias("orders"))
+    first, last = placed.agg(F.min("purchase_date"), F.max("purchase_date")).first()  # two dates
+    calendar = star.dim_date(spark, first.isoformat(), (last - first).days + 1)
+    return calendar.join(placed, F.col("full_date") == F.col("purchase_date"), "left").select(
+        *calendar.columns, F.coalesce("orders", F.lit(0)).alias("orders_placed")
+    )
+
+
 @query
 def dim_geography(spark, sf):
     # The hash key and the point struct are engine-specific; the point is shown as two columns.
@@ -329,3 +348,411 @@ def report_installments(spark, sf):
 @query
 def report_business_summary(spark, sf):
     return reports.business_summary(report_enriched_orders(spark, sf), *lead_inputs(spark, sf))
+
+
+# --- ranking operators on their own ------------------------------------------------------
+
+
+@query
+def global_ntile_customers(spark, sf):
+    """Decile of every order account by spend, through the sliced global order."""
+    spend = stg_order_items(spark, sf).join(stg_orders(spark, sf), "order_id").groupBy("customer_id").agg(
+        F.sum("item_total").alias("spend")
+    )
+    return ranking.global_ntile(spend, [F.col("spend").desc(), F.col("customer_id").asc()], 10, "decile")
+
+
+@query
+def running_revenue_share(spark, sf):
+    """Products by revenue with running and total revenue (Pareto curve)."""
+    revenue = stg_order_items(spark, sf).groupBy("product_id").agg(F.sum("item_total").alias("revenue"))
+    walked = ranking.running_totals(
+        revenue, [F.col("revenue").desc(), F.col("product_id").asc()], sums=["revenue"]
+    )
+    share = percent(F.col("running_revenue"), F.col("total_revenue"), 3)
+    return walked.select("product_id", "revenue", "row_no", "running_revenue", share.alias("cumulative_pct"))
+
+
+@query
+def exact_price_quantiles(spark, sf):
+    """Exact median and 1 % / 99 % quantiles of item prices per category."""
+    priced = stg_order_items(spark, sf).join(stg_products(spark, sf), "product_id")
+    wanted = {"p01": 0.01, "median": 0.5, "p99": 0.99}
+    found = summaries.exact_quantiles(priced, ["category_english"], "item_price", wanted)
+    return found.select("category_english", *[rounded(F.col(n), 4).alias(n) for n in wanted])
+
+
+@query
+def distinct_orphan_zips(spark, sf):
+    """Customer zips without a geolocation row: set difference of distinct keys."""
+    return quality.orphan_keys(
+        stg_customers(spark, sf), "zip_code_prefix", stg_geolocation(spark, sf), "zip_code_prefix"
+    ).withColumnRenamed("key", "zip_code_prefix")
+
+
+# --- incremental processing ----------------------------------------------------------------
+
+FIRST_LOAD_END = "2001-03-15"  # the first run sees the orders before this day
+
+
+def first_load(orders: DataFrame) -> DataFrame:
+    return orders.where(F.col("purchase_date") < F.lit(FIRST_LOAD_END).cast("date"))
+
+
+@query
+def incremental_lookback(spark, sf):
+    """Orders a second run reads again: from the newest stored month less one month."""
+    orders = stg_orders(spark, sf)
+    months = first_load(orders).select(F.trunc("purchase_date", "MM").alias("order_month"))
+    return incremental.incremental_input(orders, months, "purchase_date", "order_month").select(
+        "order_id", "purchase_date", "order_status"
+    )
+
+
+def refreshed_twice(spark, orders, build, keys, label):
+    """Mart after a first run on early orders and a second run on all orders."""
+    path = scratch_path(spark, label)
+    incremental.refresh(build, first_load(orders), path, "purchase_date", keys)
+    return incremental.refresh(build, orders, path, "purchase_date", keys)
+
+
+@query
+def merge_geo_by_key(spark, sf):
+    def build(orders):
+        return marts.geo_performance(
+            orders, stg_order_items(spark, sf), stg_customers(spark, sf), stg_geolocation(spark, sf),
+            raw.state_meta(spark, sf),
+        )
+
+    return refreshed_twice(spark, stg_orders(spark, sf), build, ["state_code", "order_month"], "geo")
+
+
+@query
+def merge_logistics_by_key(spark, sf):
+    def build(orders):
+        return marts.logistics_performance(
+            orders, stg_reviews(spark, sf), stg_customers(spark, sf), stg_geolocation(spark, sf)
+        )
+
+    return refreshed_twice(spark, stg_orders(spark, sf), build, ["customer_state", "order_month"], "logistics")
+
+
+@query
+def append_new_orders(spark, sf):
+    """Two loads, the second one repeated; every order is stored once."""
+    orders = stg_orders(spark, sf)
+    path = scratch_path(spark, "append")
+    sinks.append_new(first_load(orders), path, "order_id")
+    sinks.append_new(orders, path, "order_id")
+    sinks.append_new(orders, path, "order_id")
+    return spark.read.parquet(path)
+
+
+@query
+def append_new_items(spark, sf):
+    """The same for items, which have no unique key: equal rows are kept as often as they occur."""
+    items = stg_order_items(spark, sf)
+    early = items.where(F.col("shipping_limit_date") < F.lit(FIRST_LOAD_END).cast("date"))
+    path = scratch_path(spark, "append")
+    sinks.append_new(early, path)
+    sinks.append_new(items, path)
+    sinks.append_new(items, path)
+    return spark.read.parquet(path)
+
+
+# --- sources and sinks ---------------------------------------------------------------------
+
+
+def raw_tables(spark, sf):
+    """Raw tables by dataset name."""
+    return {
+        "orders": raw.raw_orders(spark, sf),
+        "order_items": raw.raw_order_items(spark, sf),
+        "customers": raw.raw_customers(spark, sf),
+        "products": raw.raw_products(spark, sf),
+        "sellers": raw.raw_sellers(spark, sf),
+        "payments": raw.raw_order_payments(spark, sf),
+        "reviews": raw.raw_order_reviews(spark, sf),
+        "category_translation": raw.raw_category_translation(spark, sf),
+        "mql": raw.raw_marketing_qualified_leads(spark, sf),
+        "closed_deals": raw.raw_closed_deals(spark, sf),
+    }
+
+
+def csv_folder(spark, sf, *names):
+    """The given tables derived into CSV files, as the raw data would arrive."""
+    folder = scratch_path(spark, "csv")
+    tables = raw_tables(spark, sf)
+    for name in names or tables:
+        sinks.export_csv(files.to_raw_strings(tables[name], keep=()), f"{folder}/{DATASETS[name].file}")
+    return folder
+
+
+@query
+def raw_landing_strings(spark, sf):
+    """Payments from CSV through audit columns and the all-text landing table."""
+    landed = files.to_raw_strings(files.with_audit(files.read_raw(spark, csv_folder(spark, sf, "payments"), "payments")))
+    path = scratch_path(spark, "landing")
+    sinks.full_refresh(landed, path)
+    return spark.read.parquet(path).drop("_ingested_at", "_source_file")
+
+
+@query
+def read_csv_typed(spark, sf):
+    """Geolocation CSV with explicit types; the zip keeps its leading zeros."""
+    path = scratch_path(spark, "geo-csv")
+    sinks.export_csv(raw.raw_geolocation(spark, sf), path)
+    return files.read_geolocation(spark, path)
+
+
+@query
+def read_csv_dates(spark, sf):
+    """Orders CSV with its date columns parsed."""
+    return files.read_with_dates(spark, csv_folder(spark, sf, "orders"), "orders").select(
+        F.col("order_id").cast("bigint").alias("order_id"), "order_status", *DATE_COLUMNS["orders"]
+    )
+
+
+@query
+def read_present_files(spark, sf):
+    """Row counts of the datasets present; the missing ones are skipped."""
+    folder = csv_folder(spark, sf, "orders", "sellers", "closed_deals")
+    found = files.read_present(spark, folder)
+    return assertions.row_counts(found).withColumnRenamed("mart", "dataset")
+
+
+@query
+def write_read_partitioned(spark, sf):
+    """Orders fact stored by purchase month and clustered by state and status."""
+    path = scratch_path(spark, "fact-orders")
+    sinks.monthly_partitioned(fact_orders(spark, sf), path, "purchase_date", ["customer_state", "order_status"])
+    return spark.read.parquet(path)
+
+
+@query
+def materialized_mart(spark, sf):
+    """Seller mart materialised as a clustered table and read back."""
+    return sinks.materialize(
+        QUERIES["mart_seller_performance"](spark, sf), "mart_seller_performance", scratch_path(spark, "mart"),
+        cluster_by=["seller_state", "seller_tier"],
+    )
+
+
+@query
+def export_orders_json(spark, sf):
+    facts = edge(fact_orders(spark, sf))
+    path = scratch_path(spark, "json")
+    sinks.export_json(facts, path)
+    return spark.read.schema(facts.schema).json(path)
+
+
+@query
+def load_manifest(spark, sf):
+    """Manifest of a full load of all datasets."""
+    manifest = ingest.ingest(spark, csv_folder(spark, sf), scratch_path(spark, "raw"))
+    return manifest.select("dataset", "table", "rows", "status")
+
+
+@query
+def load_manifest_dry_run(spark, sf):
+    """Dry run over a folder that lacks two datasets: counted, nothing written."""
+    folder = csv_folder(spark, sf, "orders", "customers", "products")
+    names = ["orders", "customers", "products", "sellers", "mql"]
+    manifest = ingest.ingest(spark, folder, scratch_path(spark, "raw"), datasets=names, dry_run=True)
+    return manifest.select("dataset", "rows", "status")
+
+
+@query
+def source_hash_gate(spark, sf):
+    """Four runs over one source: loaded, skipped, forced after a target is lost, loaded again when changed."""
+    folder = scratch_path(spark, "gate")
+    source, target = f"{folder}/source", f"{folder}/target"
+    sinks.export_csv(raw.raw_geolocation(spark, sf), source)
+
+    def run(target_path):
+        def load():
+            points = files.read_geolocation(spark, source)
+            sinks.full_refresh(points, target_path)
+            return {"rows_raw": spark.read.parquet(target_path).count()}
+
+        return ingest.run_gated(spark, source, f"{folder}/state", f"{folder}/audit", [target_path], load)
+
+    runs = [("first", run(target)), ("repeated", run(target)), ("target_missing", run(f"{target}-new"))]
+    sinks.export_csv(raw.raw_geolocation(spark, sf).where("geolocation_lat < 5.3"), source)
+    runs.append(("changed", run(target)))
+    rows = [(step, record["status"], record.get("rows_raw", 0)) for step, record in runs]
+    return spark.createDataFrame(rows, "step STRING, status STRING, rows_loaded BIGINT")
+
+
+# --- data quality ---------------------------------------------------------------------------
+
+TEST_STATES = tuple(f"NATION_{i}" for i in range(25))
+TEST_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+@query
+def dq_core_suite(spark, sf):
+    return quality_core.core_suite(raw_tables(spark, sf)).drop("category", "severity")
+
+
+@query
+def dq_core_summary(spark, sf):
+    return quality.summarize(quality_core.core_suite(raw_tables(spark, sf)))
+
+
+@query
+def dq_core_failures(spark, sf):
+    """Failing checks when the undefined payment type and repeated reviews are held to be errors."""
+    t = raw_tables(spark, sf)
+    return quality.failures(
+        quality.union_all([
+            quality.run_checks(t["payments"], "payments", [quality.InSet("payment_type", labels.PAYMENT_TYPES)]),
+            quality.run_checks(t["reviews"], "reviews", [quality.Unique("review_id"), quality.Unique("order_id")]),
+            quality.run_checks(t["orders"], "orders", [
+                quality.NotNull("order_delivered_customer_date", 0.2),
+                quality.Rule("needs_delivery", "order_delivered_customer_date IS NOT NULL", 10),
+                quality.Rule("broken", "no_such_column > 0"),
+            ]),
+            quality.run_checks(t["order_items"], "order_items", [
+                quality.Between("price", low=1000, high=90000),
+                quality.References("order_id", t["closed_deals"], "mql_id", "closed_deals"),
+            ]),
+        ])
+    ).drop("category", "severity")
+
+
+@query
+def dq_won_after_contact(spark, sf):
+    leads, deals = lead_inputs(spark, sf)
+    return quality_core.won_after_contact(leads, deals).drop("category", "severity")
+
+
+def geo_expectations():
+    return quality_geo.GeoExpectations(states=TEST_STATES, largest_state="NATION_0")
+
+
+@query
+def dq_geo_suite(spark, sf):
+    points = raw.raw_geolocation(spark, sf)
+    results = quality_geo.geo_suite(
+        points,
+        deduped=stg_geolocation(spark, sf),
+        customer_zips=raw.raw_customers(spark, sf).select("customer_zip_code_prefix"),
+        expect=geo_expectations(),
+    )
+    return results.select("check_id", "severity", "status", "passed", "rows_affected", "detail")
+
+
+@query
+def dq_geo_preload(spark, sf):
+    return quality_geo.geo_preload(raw.raw_geolocation(spark, sf), geo_expectations())
+
+
+@query
+def dq_schema_validation(spark, sf):
+    """Row count and warnings of the load-time validation, key check on a repeated column included."""
+    rows = []
+    for name, df in raw_tables(spark, sf).items():
+        dataset = DATASETS[name]
+        if name == "reviews":
+            dataset = replace(dataset, primary_key="review_id")
+        if name == "mql":
+            dataset = replace(dataset, required=(*dataset.required, "landing_page_id"))
+        if name == "orders":
+            dataset = replace(dataset, required=(*dataset.required, "order_delivered_customer_date"))
+        count, warnings = ingest.validate_schema(df, dataset)
+        rows.append((name, count, len(warnings), "; ".join(warnings)))
+    return spark.createDataFrame(rows, "dataset STRING, rows BIGINT, warnings BIGINT, detail STRING")
+
+
+# --- table tests ----------------------------------------------------------------------------
+
+
+def tested_tables(spark, sf):
+    names = ("stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_sellers", "stg_payments",
+             "stg_reviews", "stg_marketing_leads", "stg_geolocation", *MARTS)
+    return {"raw_orders": raw.raw_orders(spark, sf), **{n: QUERIES[n](spark, sf) for n in names}}
+
+
+MARTS = (
+    "mart_monthly_revenue", "mart_customer_lifetime_value", "mart_geo_performance", "mart_seller_performance",
+    "mart_marketing_funnel", "mart_logistics_performance", "mart_product_performance",
+)
+
+
+@query
+def table_tests(spark, sf):
+    """All declared staging and mart tests, one row each."""
+    return tests.run_table_tests(tested_tables(spark, sf), tests.declared_tests(TEST_STATES, TEST_REGIONS))
+
+
+@query
+def test_unique(spark, sf):
+    return assertions.unique_violations(stg_reviews(spark, sf), "review_id")
+
+
+@query
+def test_not_null(spark, sf):
+    return assertions.not_null_violations(stg_marketing_leads(spark, sf), "origin").select("mql_id", "origin")
+
+
+@query
+def test_accepted_values(spark, sf):
+    return assertions.accepted_values_violations(
+        raw.raw_order_payments(spark, sf), "payment_type", labels.PAYMENT_TYPES
+    )
+
+
+@query
+def test_expression(spark, sf):
+    return assertions.expression_violations(stg_orders(spark, sf), "delivery_days > 0 OR delivery_days IS NULL").select(
+        "order_id", "delivery_days"
+    )
+
+
+@query
+def test_accepted_range(spark, sf):
+    return assertions.range_violations(stg_reviews(spark, sf), "review_score", 2, 4).select(
+        "review_id", "order_id", "review_score"
+    )
+
+
+@query
+def test_unique_combination(spark, sf):
+    return assertions.combination_violations(stg_order_items(spark, sf), ["order_id", "order_item_id"])
+
+
+@query
+def test_orphans(spark, sf):
+    return assertions.orphan_rows(raw.raw_order_items(spark, sf), raw.raw_orders(spark, sf), "order_id")
+
+
+@query
+def test_orders_without_items(spark, sf):
+    return assertions.orphan_rows(raw.raw_orders(spark, sf), raw.raw_order_items(spark, sf), "order_id")
+
+
+@query
+def test_payment_totals(spark, sf):
+    return assertions.payment_total_violations(fact_orders(spark, sf), fact_payments(spark, sf))
+
+
+@query
+def test_mart_counts(spark, sf):
+    return assertions.row_counts({name: QUERIES[name](spark, sf) for name in MARTS})
+
+
+@query
+def test_rfm_coverage(spark, sf):
+    return assertions.unsegmented(mart_customer_lifetime_value(spark, sf))
+
+
+@query
+def test_geo_box(spark, sf):
+    """Zips outside a narrower box than the one used for cleaning."""
+    return assertions.outside_box(dim_geography(spark, sf), (-25.0, -5.0, -74.0, -28.0))
+
+
+@query
+def test_future_orders(spark, sf):
+    return assertions.orders_after(stg_orders(spark, sf), "2001-06-30")

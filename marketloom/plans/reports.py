@@ -288,20 +288,23 @@ def installments(raw_payments: DataFrame, payment_type: str = "credit_card") ->
 
 def business_summary(orders: DataFrame, raw_leads: DataFrame, raw_deals: DataFrame) -> DataFrame:
     """One row: value, orders, review average, punctuality, delivery days, lead conversion."""
-    delivered = F.col("order_status") == "delivered"
-    totals = orders.agg(
+    facts = orders.select(
+        F.lit("order").alias("kind"), "order_status", "total_value", "review_score", "is_late", "delivery_days"
+    )
+    leads, deals = (df.select(F.lit(kind).alias("kind")) for df, kind in ((raw_leads, "lead"), (raw_deals, "deal")))
+    everything = facts.unionByName(leads, allowMissingColumns=True).unionByName(deals, allowMissingColumns=True)
+    delivered = F.coalesce(F.col("order_status") == "delivered", F.lit(False))
+
+    def count_of(kind: str) -> Column:
+        return F.count_if(F.col("kind") == kind)
+
+    return everything.agg(
         total_or_zero("total_value").alias("total_gmv"),
-        F.count(F.lit(1)).alias("total_orders"),
+        count_of("order").alias("total_orders"),
         F.count_if(delivered).alias("delivered_orders"),
         rounded(mean("total_value"), 6).alias("avg_order_value"),
         rounded(mean("review_score"), 6).alias("avg_review_score"),
         share(F.count_if(delivered & ~F.col("is_late")), F.count_if(delivered)).alias("on_time_pct"),
         rounded(mean(F.when(delivered, F.col("delivery_days"))), 6).alias("avg_delivery_days"),
-    ).withColumn("_one", F.lit(1))
-    leads = raw_leads.agg(F.count(F.lit(1)).alias("leads")).withColumn("_one", F.lit(1))
-    deals = raw_deals.agg(F.count(F.lit(1)).alias("deals")).withColumn("_one", F.lit(1))
-    # Three one-row frames side by side.
-    return totals.join(leads, "_one").join(deals, "_one").select(
-        "total_gmv", "total_orders", "delivered_orders", "avg_order_value", "avg_review_score", "on_time_pct",
-        "avg_delivery_days", share(F.col("deals"), F.col("leads")).alias("lead_conversion_pct"),
+        share(count_of("deal"), count_of("lead")).alias("lead_conversion_pct"),
     )

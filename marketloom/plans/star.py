@@ -62,11 +62,11 @@ def date_spine(spark: SparkSession, start: str = CALENDAR_START, days: int = CAL
     )
 
 
-def dim_date(spark: SparkSession, start: str = CALENDAR_START, days: int = CALENDAR_DAYS) -> DataFrame:
-    d = F.col("full_date")
+def calendar_attributes(d: Column) -> list[Column]:
+    """The 18 calendar columns of a date column named ``full_date``."""
     second_half = F.month(d) > 6
     year_start = F.trunc(d, "year")
-    return date_spine(spark, start, days).select(
+    return [
         d,
         F.date_format(d, "yyyyMMdd").alias("date_key"),
         F.year(d).alias("year"),
@@ -87,7 +87,11 @@ def dim_date(spark: SparkSession, start: str = CALENDAR_START, days: int = CALEN
         F.concat(F.lit("H"), F.when(second_half, "2").otherwise("1"), F.lit("-"), F.year(d).cast("string")).alias(
             "half_year_label"
         ),
-    )
+    ]
+
+
+def dim_date(spark: SparkSession, start: str = CALENDAR_START, days: int = CALENDAR_DAYS) -> DataFrame:
+    return date_spine(spark, start, days).select(*calendar_attributes(F.col("full_date")))
 
 
 def dim_geography(

@@ -8,9 +8,10 @@ _NAMES = re.compile(r"\b[a-z][a-z0-9_]*\b")
 
 
 def _all_fragments() -> dict[str, str]:
-    from oracle import marts, reports, star
+    from oracle import marts, quality, reports, star
 
-    return {**raw.FRAGMENTS, **staging.FRAGMENTS, **star.FRAGMENTS, **marts.FRAGMENTS, **reports.FRAGMENTS}
+    return {**raw.FRAGMENTS, **staging.FRAGMENTS, **star.FRAGMENTS, **marts.FRAGMENTS, **reports.FRAGMENTS,
+            **quality.FRAGMENTS}
 
 
 def compose(body: str) -> str:

@@ -16,8 +16,10 @@ FRAGMENTS = {
                CAST(last_day(full_date) AS DATE) AS last_day_of_month,
                CAST(date_trunc('quarter', full_date) AS DATE) AS first_day_of_quarter,
                CAST(make_date(year(full_date), CASE WHEN month(full_date) <= 6 THEN 1 ELSE 7 END, 1) AS DATE) AS first_day_of_half_year,
-               'H' || CASE WHEN month(full_date) <= 6 THEN '1' ELSE '2' END || '-' || year(full_date) AS half_year_label
-        FROM (SELECT CAST(DATE '2016-01-01' + CAST(n AS INT) AS DATE) AS full_date FROM range(1827) t(n))""",
+               'H' || CASE WHEN month(full_date) <= 6 THEN '1' ELSE '2' END || '-' || year(full_date) AS half_year_label,
+               (SELECT COUNT(*) FROM stg_orders WHERE purchase_date = full_date) AS orders_placed
+        FROM (SELECT CAST(unnest(generate_series((SELECT MIN(purchase_date) FROM stg_orders),
+                  (SELECT MAX(purchase_date) FROM stg_orders), INTERVAL 1 DAY)) AS DATE) AS full_date)""",
     "dim_geography": f"""
         SELECT zip_code_prefix, LPAD(CAST(zip_code_prefix AS VARCHAR), 5, '0') AS zip_code_formatted,
                {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude,

@@ -1,12 +1,12 @@
 """Query name -> DuckDB SQL over the given tables."""
 
-from oracle import reports
+from oracle import quality, reports
 from oracle.compose import compose
 
 _PLAIN = (
     "stg_orders", "stg_order_items", "stg_customers", "stg_products", "stg_sellers", "stg_payments", "stg_reviews",
     "stg_marketing_leads", "stg_geolocation", "stg_geolocation_exact",
-    "dim_geography", "dim_customer", "dim_product", "dim_seller", "dim_payment_type", "dim_marketing_channel",
+    "dim_date", "dim_geography", "dim_customer", "dim_product", "dim_seller", "dim_payment_type", "dim_marketing_channel",
     "fact_orders", "fact_order_items", "fact_marketing_funnel", "fact_payments",
     "mart_monthly_revenue", "mart_customer_lifetime_value", "mart_geo_performance", "mart_seller_performance",
     "mart_marketing_funnel", "mart_marketing_funnel_any", "mart_logistics_performance", "mart_product_performance",
@@ -34,5 +34,17 @@ def _edge(name: str) -> str:
     return f"SELECT * REPLACE ({doubles}) FROM {name}"
 
 
+_FACT_COPIES = ("write_read_partitioned", "export_orders_json")
+
+
+def _body(name: str, body: str) -> str:
+    if name in _FACT_COPIES:
+        doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MONEY["fact_orders"])
+        return body.replace("SELECT *", f"SELECT * REPLACE ({doubles})")
+    if name == "append_new_items":
+        return _edge("stg_order_items")
+    return body
+
+
 STATEMENTS: dict[str, str] = {name: compose(_edge(name)) for name in _PLAIN}
-STATEMENTS.update({name: compose(body) for name, body in reports.BODIES.items()})
+STATEMENTS |= {name: compose(_body(name, body)) for name, body in {**reports.BODIES, **quality.BODIES}.items()}
