@@ -34,6 +34,7 @@ from marketloom.functions.labels import (
     PAYMENT_LABELS,
     UNDEFINED_PAYMENT,
 )
+from marketloom.operators.joins import detached
 from marketloom.operators.ranking import running_totals
 from marketloom.plans.staging import (
     clean_geolocation,
@@ -135,7 +136,7 @@ def _located(df: DataFrame, geography: DataFrame, who: str, attributes: Sequence
         lower_trim(f"{who}_city").alias("city"),
         upper_trim(f"{who}_state").alias("state_code"),
     )
-    return party.join(places, "zip_code_prefix", "left")
+    return party.join(detached(places, "zip_code_prefix"), "zip_code_prefix", "left")
 
 
 def dim_customer(raw: DataFrame, geography: DataFrame, stamp: bool = False) -> DataFrame:
