@@ -20,18 +20,18 @@ def top_values(
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
     counted = (
-        df.select(*keys, F.explode(pairs).alias("p"))
-        .select(*keys, "p.name", "p.value")
-        .groupBy(*keys, "name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.select(*keys, F.explode(pairs).alias("_pair"))
+        .select(*keys, F.col("_pair.name").alias("_name"), F.col("_pair.value").alias("_value"))
+        .groupBy(*keys, "_name", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     if not count_nulls:
-        counted = counted.where(F.col("value").isNotNull())
-    best = F.struct((-F.col("n")).alias("n"), "value")
+        counted = counted.where(F.col("_value").isNotNull())
+    best = F.struct((-F.col("_n")).alias("n"), F.col("_value").alias("value"))
     return (
         counted.groupBy(*keys)
-        .agg(*[F.min(F.when(F.col("name") == c, best)).alias(c) for c in columns])
-        .select(*keys, *[F.col(c)["value"].alias(c) for c in columns])
+        .agg(*[F.min(F.when(F.col("_name") == c, best)).alias(f"_best_{c}") for c in columns])
+        .select(*keys, *[F.col(f"_best_{c}")["value"].alias(c) for c in columns])
     )
 
 
@@ -60,15 +60,15 @@ def exact_quantiles(
     counted = (
         df.where(F.col(column).isNotNull())
         .groupBy(*keys, column)
-        .agg(F.count(F.lit(1)).alias("weight"))
+        .agg(F.count(F.lit(1)).alias("_weight"))
     )
-    walked = running_totals(counted, [F.col(column).asc()], keys=keys, sums=["weight"])
-    last_index = F.col("running_weight") - 1
-    first_index = F.col("running_weight") - F.col("weight")
+    walked = running_totals(counted, [F.col(column).asc()], keys=keys, sums=["_weight"])
+    last_index = F.col("running__weight") - 1
+    first_index = F.col("running__weight") - F.col("_weight")
 
     picks = []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("total_weight") - 1)
+        position = F.lit(float(p)) * (F.col("total__weight") - 1)
         for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (first_index <= index) & (index <= last_index)
             picks.append(F.max(F.when(here, F.col(column).cast("double"))).alias(f"_{name}_{side}"))
@@ -118,6 +118,6 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], name: str = "duplicates")
     """Rows beyond the first of each key, NULL keys equal to each other; one row."""
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(name))
     )

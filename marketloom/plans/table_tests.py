@@ -191,8 +191,8 @@ def _keys(test: TableTest) -> list[str]:
 def _repeated(df: DataFrame, test: TableTest) -> DataFrame:
     """Number of key values that occur more than once."""
     present = df.dropna(subset=[test.column]) if test.kind == "unique" else df
-    per_key = present.groupBy(*_keys(test)).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.count_if(F.col("n") > 1).alias("failures")).select(
+    per_key = present.groupBy(*_keys(test)).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.count_if(F.col("_n") > 1).alias("failures")).select(
         F.inline(F.array(_row(test, F.col("failures"))))
     )
 
