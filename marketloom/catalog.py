@@ -248,7 +248,7 @@ def product_aggregate(spark, sf):
 
 @query
 def repeat_buyers(spark, sf):
-    return marts.repeat_buyers(*product_inputs(spark, sf))
+    return marts.repeat_buyers(stg_order_items(spark, sf), stg_products(spark, sf), stg_orders(spark, sf))
 
 
 # --- reports --------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from marketloom.functions.numbers import (
     edge,
     mean,
     money,
+    money_sum,
     percent,
     ratio,
     rounded,
@@ -31,6 +32,7 @@ __all__ = [
     "lower_trim",
     "mean",
     "money",
+    "money_sum",
     "month_start",
     "percent",
     "ratio",

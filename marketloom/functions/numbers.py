@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
-_WIDE = "decimal(24,6)"
 _QUOTIENT = "decimal(38,6)"
 
 
@@ -20,8 +19,18 @@ def _col(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Parse to cents, half away from zero; NULL when the text is not a number."""
-    return F.round(_col(c).try_cast(_WIDE), 2).try_cast(MONEY)
+    """Parse to cents in one rounding, half away from zero; NULL when it is not a number."""
+    return _col(c).try_cast(MONEY)
+
+
+def money_sum(a: Column | str, b: Column | str) -> Column:
+    """Sum of two amounts, rounded once after adding.
+
+    Amounts up to 11 digits before the point stay in 64-bit decimals; only larger ones
+    take the wider and slower type.
+    """
+    narrow, wide = (_col(a).try_cast(t) + _col(b).try_cast(t) for t in ("decimal(17,6)", "decimal(24,6)"))
+    return F.coalesce(narrow, wide).try_cast(MONEY)
 
 
 def to_float(c: Column | str) -> Column:

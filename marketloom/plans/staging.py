@@ -16,6 +16,7 @@ from marketloom.functions import (
     days_between,
     lower_trim,
     money,
+    money_sum,
     rounded,
     title_words,
     to_float,
@@ -76,17 +77,15 @@ def stg_orders(raw: DataFrame, stamp: bool = False) -> DataFrame:
 
 
 def stg_order_items(raw: DataFrame, stamp: bool = False) -> DataFrame:
-    price, freight = F.col("price"), F.col("freight_value")
-    wide = "decimal(24,6)"
     out = raw.where(present("order_id", "product_id", "seller_id")).select(
         "order_id",
         "order_item_id",
         "product_id",
         "seller_id",
         day_of("shipping_limit_date").alias("shipping_limit_date"),
-        money(price).alias("item_price"),
-        money(freight).alias("freight_value"),
-        money(price.try_cast(wide) + freight.try_cast(wide)).alias("item_total"),
+        money("price").alias("item_price"),
+        money("freight_value").alias("freight_value"),
+        money_sum("price", "freight_value").alias("item_total"),
     )
     return stamped(out, stamp)
 

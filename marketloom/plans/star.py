@@ -17,6 +17,7 @@ from marketloom.functions import (
     day_of,
     lower_trim,
     money,
+    money_sum,
     month_start,
     rounded,
     title_words,
@@ -213,15 +214,23 @@ def order_payment_summary(raw_payments: DataFrame) -> DataFrame:
 
 
 def order_item_summary(raw_items: DataFrame) -> DataFrame:
+    """Per order: rows, revenue, distinct sellers and products.
+
+    Sums and distinct counts are two groupings joined on their common key. In one
+    grouping, every row would be tripled with its money columns to count two distincts.
+    """
     price, freight = money("price"), money("freight_value")
-    return raw_items.groupBy("order_id").agg(
+    sums = raw_items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
         F.sum(price).alias("product_revenue"),
         F.sum(freight).alias("freight_revenue"),
         F.sum(price + freight).alias("total_order_value"),
+    )
+    variety = raw_items.groupBy("order_id").agg(
         F.countDistinct("seller_id").alias("seller_count"),
         F.countDistinct("product_id").alias("distinct_products"),
     )
+    return sums.join(variety, "order_id")
 
 
 def best_review(reviews: DataFrame) -> DataFrame:
@@ -297,9 +306,7 @@ def fact_order_items(
         day_of("shipping_limit_date").alias("shipping_limit_date"),
         money("price").alias("item_price"),
         money("freight_value").alias("freight_value"),
-        money(F.col("price").try_cast("decimal(24,6)") + F.col("freight_value").try_cast("decimal(24,6)")).alias(
-            "item_total"
-        ),
+        money_sum("price", "freight_value").alias("item_total"),
     )
     out = (
         items.join(

@@ -19,7 +19,7 @@ def avg(expr: str) -> str:
 
 
 def money(expr: str) -> str:
-    return f"CAST(ROUND(TRY_CAST({expr} AS DECIMAL(24,6)), 2) AS DECIMAL(18,2))"
+    return f"TRY_CAST({expr} AS DECIMAL(18,2))"
 
 
 def top(source: str, keys: str, column: str, name: str, count_nulls: bool) -> str:
