@@ -53,31 +53,21 @@ def exact_quantiles(
     keys: Sequence[str],
     column: str,
     probabilities: Mapping[str, float],
-    weight: str | None = None,
-    interpolate: bool = True,
 ) -> DataFrame:
-    """Exact quantiles per ``keys`` group or for the whole frame.
-
-    Between two values the result is interpolated, or with ``interpolate=False`` it is the
-    smallest value that at least the wanted share of rows does not exceed. ``weight``
-    names a column saying for how many rows a row stands.
+    """Exact quantiles with linear interpolation, per ``keys`` group or for the whole frame.
 
     Values are counted first, then the counts are summed along the value order over
     ordered slices. The built-in exact percentile would hold all distinct values of a
     group in one buffer.
     """
-    rows = F.sum(weight) if weight else F.count(F.lit(1))
-    counted = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(rows.alias("_weight"))
+    counted = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_weight"))
     walked = running_totals(counted, [F.col(column).asc()], keys=keys, sums=["_weight"])
     last_index = F.col("running__weight") - 1
     first_index = F.col("running__weight") - F.col("_weight")
 
     picks, results = [], []
     for name, p in probabilities.items():
-        if interpolate:
-            position = F.lit(float(p)) * (F.col("total__weight") - 1)
-        else:
-            position = F.greatest(F.ceil(F.lit(float(p)) * F.col("total__weight")) - 1, F.lit(0)).cast("double")
+        position = F.lit(float(p)) * (F.col("total__weight") - 1)
         for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (first_index <= index) & (index <= last_index)
             picks.append(F.max(F.when(here, F.col(column).cast("double"))).alias(f"_{name}_{side}"))
