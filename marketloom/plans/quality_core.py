@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marketloom.functions import as_timestamp
 from marketloom.functions.labels import ORDER_STATUSES, PAYMENT_TYPES, UNDEFINED_PAYMENT
@@ -149,7 +148,3 @@ def core_suite(tables: Tables) -> DataFrame:
     if not frames:
         raise ValueError("no dataset loaded, nothing to validate")
     return union_all(frames)
-
-
-def failing_rows(results: DataFrame) -> DataFrame:
-    return results.where(~F.col("passed")).select("dataset", "column", "rule", "detail")

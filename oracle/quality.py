@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from marketloom.plans.table_tests import TableTest, declared_tests
-from oracle.sqlkit import money
 
 STATES = tuple(f"NATION_{i}" for i in range(25))
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
