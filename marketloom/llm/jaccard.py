@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm import grams
+from marketloom.llm import grams, pairing
 from marketloom.llm.base import slices, stored
-from marketloom.llm.components import connected
 
 SLICE_CHARS = 1_000_000
 
@@ -125,7 +124,7 @@ def _signatures(s: Settings):
                 if p is not None and p not in known:
                     known[p] = signature(x, s)
             columns = [batch.column(0), pa.array(prints, pa.binary()), pa.array([known.get(p) for p in prints], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "sig"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "sig"])
 
     return run
 
@@ -136,7 +135,7 @@ def _bodies(words: int):
             texts = batch.column(0).to_pylist()
             prints, sets = shingle_sets(texts, len(texts), words)
             columns = [pa.array(prints, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["print", "shingles"])
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
 
     return run
 
@@ -207,67 +206,32 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _forest(links: np.ndarray, names: list[bytes]) -> list[tuple[bytes, bytes]]:
-    """Edges that join what the links (row and column numbers) join."""
-    root = list(range(len(names)))
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    edges = []
-    for i, j in links:
-        a, b = top(int(i)), top(int(j))
-        if a != b:
-            root[b] = a
-            edges.append((names[int(i)], names[int(j)]))
-    return edges
-
-
 def _compared(s: Settings):
     """Links between the classes of two blocks of a cluster (or inside one)."""
 
     def run(group: pa.Table) -> pa.Table:
         least = least_matches(s)
-        block = group.column("block").to_numpy()
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        names = group.column("print").to_pylist()
+        left, right, one = pairing.sides(group)
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        copies = group.column("copies").to_numpy()
         sig = _matrix(group.column("sig"), s)
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        if len(left) and len(right):
-            x, y = sig[left], sig[right]
-            if low == high:
-                i, j = np.triu_indices(len(left), 1)
-            else:
-                i, j = (k.ravel() for k in np.meshgrid(np.arange(len(left)), np.arange(len(right)), indexing="ij"))
-            matches = np.zeros(len(i), np.int64)
-            for begin in range(0, s.values, s.step):
-                end = min(begin + s.step, s.values)
-                for k in range(begin, end):
-                    matches += x[i, k] == y[j, k]
-                go_on = matches >= least[end]
-                i, j, matches = i[go_on], j[go_on], matches[go_on]
-            if len(i):
-                sizes = np.array([len(v) for v in sets], np.float64)
-                common = _common([sets[k] for k in left], [sets[k] for k in right])
-                good = _similar(common[i, j], sizes[left[i]], sizes[right[j]], s.threshold)
-                found.append((left[i[good]], right[j[good]]))
-        i, j = (np.concatenate(side) for side in zip(*found))
-        links = np.bincount(i, weights=copies[j], minlength=len(names)) + np.bincount(j, weights=copies[i], minlength=len(names))
-        edges = _forest(np.stack((i, j), axis=1), names)
-        linked = np.flatnonzero(links)
-        return pa.table(
-            {
-                "a": pa.array([names[k] for k in linked] + [a for a, _ in edges], pa.binary()),
-                "b": pa.array([None] * len(linked) + [b for _, b in edges], pa.binary()),
-                "n": pa.array(links[linked].astype(np.int64).tolist() + [None] * len(edges), pa.int64()),
-            }
-        )
+        x, y = sig[left], sig[right]
+        if one:
+            i, j = np.triu_indices(len(left), 1)
+        else:
+            i, j = (k.ravel() for k in np.meshgrid(np.arange(len(left)), np.arange(len(right)), indexing="ij"))
+        matches = np.zeros(len(i), np.int64)
+        for begin in range(0, s.values, s.step):
+            end = min(begin + s.step, s.values)
+            for k in range(begin, end):
+                matches += x[i, k] == y[j, k]
+            go_on = matches >= least[end]
+            i, j, matches = i[go_on], j[go_on], matches[go_on]
+        if len(i):
+            sizes = np.array([len(v) for v in sets], np.float64)
+            common = _common([sets[k] for k in left], [sets[k] for k in right])
+            good = _similar(common[i, j], sizes[left[i]], sizes[right[j]], s.threshold)
+            i, j = i[good], j[good]
+        return pairing.summary(left[i], right[j], group.column("node").to_pylist(), group.column("copies").to_numpy())
 
     return run
 
@@ -284,94 +248,50 @@ def join_similar(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     s = settings
     rows = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    base = stored(rows.mapInArrow(_signatures(s), f"doc_id {id_type}, print binary, sig binary"), "jaccard-rows")
+    base = stored(rows.mapInArrow(_signatures(s), f"doc_id {id_type}, node binary, sig binary"), "jaccard-rows")
     classes = stored(
-        base.where("print IS NOT NULL")
-        .groupBy("print")
+        base.where("node IS NOT NULL")
+        .groupBy("node")
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("sig").alias("sig")),
         "jaccard-classes",
     )
     width = 2 * s.rows
-    buckets = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 1 + b * width, width)) for b in range(s.bands)])
-    banded = classes.select("print", F.explode(buckets).alias("bucket"))
-    meeting = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(banded.join(meeting, "bucket"), "jaccard-members")
-
-    # clusters of the large buckets
-    large = members.where(F.col("n") > s.small)
-    hubs = large.groupBy("bucket").agg(F.min("print").alias("b"))
-    clusters = connected(large.join(hubs, "bucket").select(F.col("print").alias("a"), "b"))
-    clusters = clusters.select(F.col("node").alias("print"), F.col("root").alias("cluster"))
-
-    # pairs of the small ones, but for those inside a cluster
-    few = members.where(F.col("n") <= s.small).join(clusters, "print", "left")
-    pairs = (
-        few.select("bucket", F.col("print").alias("a"), F.col("cluster").alias("cluster_a"))
-        .join(few.select("bucket", F.col("print").alias("b"), F.col("cluster").alias("cluster_b")), "bucket")
-        .where("a < b AND (cluster_a IS NULL OR cluster_b IS NULL OR cluster_a <> cluster_b)")
-        .select("a", "b")
-        .distinct()
-    )
+    bands = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 1 + b * width, width)) for b in range(s.bands)])
+    found = pairing.members(classes.select("node", F.explode(bands).alias("bucket")), "jaccard-members")
+    clustered = pairing.clusters(found, s.small)
+    pairs = pairing.few_pairs(found, clustered, s.small)
     for side in ("a", "b"):
-        named = classes.select(F.col("print").alias(side), F.col("sig").alias(f"sig_{side}"), F.col("copies").alias(f"copies_{side}"))
+        named = classes.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}"), F.col("copies").alias(f"copies_{side}"))
         pairs = pairs.join(named, side)
     pair_type = "a binary, b binary, copies_a bigint, copies_b bigint"
     likely = stored(pairs.mapInArrow(_likely(s), pair_type), "jaccard-likely")
 
     # n-gram sets of the classes that are still compared
-    needed = likely.select(F.col("a").alias("print")).union(likely.select("b")).union(clusters.select("print")).distinct()
-    sources = classes.join(needed, "print", "left_semi").select("doc_id").distinct()
+    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).union(clustered.select("node")).distinct()
+    sources = classes.join(needed, "node", "left_semi").select("doc_id").distinct()
     texts = rows.join(sources, rows["doc_id"].eqNullSafe(sources["doc_id"]), "left_semi")
     bodies = stored(
-        texts.select("text").mapInArrow(_bodies(s.words), "print binary, shingles binary")
-        .join(needed, "print", "left_semi")
-        .groupBy("print")
+        texts.select("text").mapInArrow(_bodies(s.words), "node binary, shingles binary")
+        .join(needed, "node", "left_semi")
+        .groupBy("node")
         .agg(F.min("shingles").alias("shingles")),
         "jaccard-bodies",
     )
     for side in ("a", "b"):
-        likely = likely.join(bodies.select(F.col("print").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
+        likely = likely.join(bodies.select(F.col("node").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
     links = stored(likely.mapInArrow(_verified(s), pair_type), "jaccard-links")
-
-    blocks = (
-        clusters.groupBy("cluster")
-        .agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))
-        .join(clusters, "cluster")
-        .join(classes.select("print", "copies", "sig"), "print")
-        .join(bodies, "print")
-        .withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    )
     within = stored(
-        blocks.select("cluster", "low", "high", "block", "print", "copies", "sig", "shingles")
+        pairing.blocks(clustered, s.block)
+        .join(classes.select("node", "copies", "sig"), "node")
+        .join(bodies, "node")
         .groupBy("cluster", "low", "high")
-        .applyInArrow(_compared(s), "a binary, b binary, n bigint"),
+        .applyInArrow(_compared(s), pairing.WITHIN),
         "jaccard-within",
     )
-
-    counts = (
-        links.select("a", F.col("copies_b").alias("n"))
-        .union(links.select("b", "copies_a"))
-        .union(within.where("n IS NOT NULL").select("a", "n"))
-        .groupBy(F.col("a").alias("print"))
-        .agg(F.sum("n").alias("n"))
-    )
-    groups = connected(links.select("a", "b").union(within.where("b IS NOT NULL").select("a", "b")))
-    smallest = (
-        groups.join(classes.select(F.col("print").alias("node"), "doc_id"), "node")
-        .groupBy("root")
-        .agg(F.min("doc_id").alias("group_id"))
-    )
-    grouped = groups.join(smallest, "root").select(F.col("node").alias("print"), "group_id")
-    facts = (
-        classes.select("print", F.col("doc_id").alias("first_id"), "copies")
-        .join(counts, "print", "left")
-        .join(grouped, "print", "left")
-    )
+    facts = pairing.facts(links, within, classes, "doc_id")
     return (
-        base.select("doc_id", "print")
-        .join(facts, "print", "left")
+        base.select("doc_id", "node")
+        .join(facts, "node", "left")
         .select(
             "doc_id",
             F.coalesce("group_id", "first_id", "doc_id").alias("class_id"),
