@@ -36,7 +36,7 @@ def jump_shards(key: Column, shards: int) -> Column:
     counts as 0.
     """
     start = F.coalesce(key.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    start = F.when(start < 0, start + F.lit(WORD).cast("decimal(20,0)")).otherwise(start).cast("decimal(20,0)")
+    start = F.when(start < 0, start + F.lit(str(WORD)).cast("decimal(20,0)")).otherwise(start).cast("decimal(20,0)")
     state = F.struct(
         start.alias("k"), F.lit(-1).cast("bigint").alias("shard"), F.lit(-1).cast("bigint").alias("grown"), F.lit(0).cast("bigint").alias("j")
     )
@@ -44,7 +44,7 @@ def jump_shards(key: Column, shards: int) -> Column:
     def step(a: Column, _: Column) -> Column:
         k = F.pmod(
             (a["k"] * F.lit(MULTIPLIER).cast("decimal(19,0)") + F.lit(1).cast("decimal(1,0)")).cast("decimal(38,0)"),
-            F.lit(WORD).cast("decimal(20,0)"),
+            F.lit(str(WORD)).cast("decimal(20,0)"),
         ).cast("decimal(20,0)")
         high = F.floor(k / F.lit(1 << 33).cast("decimal(10,0)")).cast("double")
         following = ((a["j"] + 1) * (F.lit(float(1 << 31)) / (high + 1.0))).cast("bigint")
