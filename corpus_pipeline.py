@@ -1,5 +1,79 @@
-"""A pipeline over ``documents`` made of the operators in ``marketloom.llm``."""
+"""A pipeline over ``documents`` made of the operators in ``marketloom.llm``.
+
+Each stage takes (spark, docs, sf_dir) and is written and read again before the next one. A
+stage works on all that its predecessor kept. ``QUERIES`` and ``SQL`` are what the library
+registers for the operators and the pipeline.
+
+The classifiers read their labels from ``labels`` and learn from those documents that are still
+there. Mixing takes no document twice here: the join before it has just taken the copies out.
+"""
 
 from __future__ import annotations
 
-from marketloom.llm.queries import QUERIES, SQL
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketloom.llm import jaccard, mixing, packing, quality, toxicity
+from marketloom.llm.base import stored, table
+from marketloom.llm.queries import QUERIES as OPERATOR_QUERIES
+
+MIXING = mixing.Settings(budget_share=0.9, max_epochs=1)
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not rejected; rows without an id cannot be named and stay."""
+    return docs.join(rejected.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, scored.where("predicted = 0"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, scored.where("predicted = 1"))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    joined = stored(jaccard.join_similar(docs), "pipeline-groups")
+    left = _without(docs, joined.where("NOT kept"))
+    # of rows that repeat a whole document, id included, one stays
+    repeated = joined.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return left
+    again = F.broadcast(repeated.select("doc_id")) if repeated.count() <= 100_000 else repeated.select("doc_id")
+    return left.join(again, "doc_id", "left_anti").select(docs.columns).union(
+        left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    )
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, MIXING).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = (
+    ("quality", keep_quality),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+)
+
+#: No SQL can express the trained classifiers; the tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
+
+
+QUERIES = {**OPERATOR_QUERIES, "pipeline": run}
+SQL = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
