@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import jaccard, mixing, packing, quality, toxicity
 from marketloom.llm.base import stored, table
+from marketloom.llm.oracle import SQL as OPERATOR_SQL
 from marketloom.llm.queries import QUERIES as OPERATOR_QUERIES
 
 MIXING = mixing.Settings(budget_share=0.9, max_epochs=1)
@@ -76,4 +77,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {**OPERATOR_QUERIES, "pipeline": run}
-SQL = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
+SQL = {**OPERATOR_SQL, **({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})}

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ def parts_for(rows: int, per_part: int) -> int:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, holdout_mod: int, holdout_rest: int, rows: int, max_chars: int
-) -> list[tuple[str, int]]:
-    """At most ``rows`` labelled training texts with their 0/1 label, in a seeded order.
+) -> Iterator[tuple[str, int]]:
+    """At most ``rows`` labelled training texts with their 0/1 label, in a seeded order, one by one.
 
     Rows whose crc32(doc_id as text) leaves ``holdout_rest`` modulo ``holdout_mod`` are held
     out. The ids are chosen from the labels first (a bounded top-k), so that only the texts of
@@ -57,7 +59,30 @@ def labelled_sample(
         .orderBy(order, "_label", "_text")
         .limit(rows)
     )
-    return [(row["_text"], row["_label"]) for row in texts.select("_text", "_label").toLocalIterator()]
+    for row in texts.select("_text", "_label").toLocalIterator():
+        yield row["_text"], row["_label"]
+
+
+class Bags:
+    """Bags of n-gram buckets of many texts, with a weight each, in one growing buffer."""
+
+    def __init__(self) -> None:
+        self._ids, self._weights, self._ends = array("i"), array("f"), [0]
+
+    def add(self, ids: np.ndarray, weights: np.ndarray | None = None) -> None:
+        self._ids.frombytes(ids.astype(np.int32).tobytes())
+        if weights is not None:
+            self._weights.frombytes(weights.astype(np.float32).tobytes())
+        self._ends.append(len(self._ids))
+
+    def __len__(self) -> int:
+        return len(self._ends) - 1
+
+    def ids(self, i: int) -> np.ndarray:
+        return np.frombuffer(self._ids, np.int32)[self._ends[i] : self._ends[i + 1]]
+
+    def weights(self, i: int) -> np.ndarray:
+        return np.frombuffer(self._weights, np.float32)[self._ends[i] : self._ends[i + 1]]
 
 
 @dataclass

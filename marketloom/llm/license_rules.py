@@ -29,26 +29,28 @@ _L = r"(?:license|licence)"
 _V = r"(?: (?:version|v))? "
 _LATER = r"(?: (?:or|and) (?:any |at your option any )?(?:later|newer)(?: version)?| or later)"
 
-# label, words that must occur, pattern of the name, further patterns
+# label, words that must occur for the name, pattern of the name, further patterns, which begin
+# with two plain words that must occur for them
 LICENCES: tuple[tuple[str, str, str, tuple[str, ...]], ...] = (
     ("mit", "mit", rf"(?:the )?mit(?: expat)? {_L}", (r"opensource org licenses mit",)),
-    ("mit", "permission sublicense", r"permission is hereby granted free of charge to any person obtaining a copy of this software", ()),
+    ("mit", "permission charge", r"permission is hereby granted free of charge to any person obtaining a copy of this software", ()),
     ("mit-0", "mit", rf"mit (?:no attribution {_L}|0 {_L})", (r"opensource org licenses mit 0",)),
     ("apache-1", "apache", rf"apache (?:software )?{_L}{_V}1 [01]", (r"apache org licenses license 1 [01]",)),
     ("apache-2", "apache", rf"apache(?: software)?(?: {_L})?{_V}2(?: 0)?(?: {_L})?", (r"apache org licenses license 2 0", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis")),
-    ("apache-2", "apache", rf"asl 2(?: 0)?(?= )|apache {_L} 2(?: 0)?", ()),
+    ("apache-2", "asl", r"asl 2(?: 0)?", ()),
     ("bsd-0", "bsd", rf"(?:zero|0) clause bsd(?: {_L})?|bsd zero clause(?: {_L})?", (r"opensource org licenses 0bsd",)),
     ("bsd-1", "bsd", rf"(?:1|one) clause bsd(?: {_L})?|bsd 1 clause(?: {_L})?", ()),
     ("bsd-2", "bsd", rf"(?:2|two) clause bsd(?: {_L})?|bsd (?:2|two) clause(?: {_L})?|(?:simplified|freebsd) bsd {_L}", (r"opensource org licenses bsd 2 clause",)),
     ("bsd-3", "bsd", rf"(?:3|three) clause bsd(?: {_L})?|bsd (?:3|three) clause(?: {_L})?|(?:new|modified|revised) bsd {_L}", (r"opensource org licenses bsd 3 clause",)),
-    ("bsd-3", "endorse redistribution", r"neither the name of .{1,80}? nor the names of (?:its|his|their) contributors may be used to endorse", ()),
+    ("bsd-3", "endorse contributors", r"neither the name of .{1,80}? nor the names of (?:its|his|their) contributors may be used to endorse", ()),
     ("bsd-4", "bsd", rf"(?:4|four) clause bsd(?: {_L})?|(?:original|old) bsd {_L}", ()),
-    ("bsd-4", "advertising acknowledgement", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", ()),
+    ("bsd-4", "advertising materials", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", ()),
     ("bsd", "bsd", rf"bsd(?: style)? {_L}", ()),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", ()),
     ("isc", "isc", rf"isc {_L}", (r"opensource org licenses isc",)),
     ("isc", "permission fee", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ()),
-    ("gpl-1", "general", rf"(?:gnu )?general public {_L}{_V}1(?: 0)?", (rf"(?:gnu )?gpl{_V}1(?: 0)?",)),
+    ("gpl-1", "general", rf"(?:gnu )?general public {_L}{_V}1(?: 0)?", ()),
+    ("gpl-1", "gpl", rf"(?:gnu )?gpl(?:{_V}|)1(?: 0)?", ()),
     ("gpl-2", "general", rf"(?:gnu )?general public {_L}{_V}2(?: 0)?", (r"gnu org licenses(?: old licenses)? gpl 2 0",)),
     ("gpl-2", "gpl", rf"(?:gnu )?gpl(?:{_V}|)2(?: 0)?", ()),
     ("gpl-2", "gplv2", r"gplv2", ()),
@@ -109,7 +111,8 @@ LICENCES: tuple[tuple[str, str, str, tuple[str, ...]], ...] = (
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", ()),
     ("wtfpl", "wtfpl", r"wtfpl", (r"wtfpl net",)),
     ("wtfpl", "fuck", rf"do what the fuck you want to public {_L}", ()),
-    ("psf-2", "python", rf"python software foundation {_L}(?:{_V}2(?: 0)?)?", (r"psf {_L}(?:{_V}2)?".replace("{_L}", _L).replace("{_V}", _V),)),
+    ("psf-2", "python", rf"python software foundation {_L}(?:{_V}2(?: 0)?)?", ()),
+    ("psf-2", "psf", rf"psf {_L}(?:{_V}2(?: 0)?)?", ()),
     ("python-2", "python", rf"python {_L}{_V}2(?: 0)?", ()),
     ("php-3", "php", rf"php {_L}{_V}3(?: 0)?(?! 1)", ()),
     ("php-3.01", "php", rf"php {_L}{_V}3 01", (r"php net license 3 01 txt",)),
@@ -122,7 +125,8 @@ LICENCES: tuple[tuple[str, str, str, tuple[str, ...]], ...] = (
     ("ms-pl", "microsoft", rf"microsoft public {_L}", (r"opensource org licenses ms pl",)),
     ("ms-rl", "microsoft", rf"microsoft reciprocal {_L}", (r"opensource org licenses ms rl",)),
     ("upl-1", "universal", rf"universal permissive {_L}(?:{_V}1(?: 0)?)?", ()),
-    ("ncsa", "illinois", rf"(?:university of illinois )?ncsa open source {_L}|university of illinois open source {_L}", ()),
+    ("ncsa", "ncsa", rf"(?:university of illinois )?ncsa open source {_L}", ()),
+    ("ncsa", "illinois", rf"university of illinois open source {_L}", ()),
     ("afl-3", "academic", rf"academic free {_L}(?:{_V}3(?: 0)?)?", ()),
     ("osl-3", "open", rf"open software {_L}{_V}3(?: 0)?", ()),
     ("ecl-2", "educational", rf"educational community {_L}(?:{_V}2(?: 0)?)?", ()),
@@ -133,7 +137,7 @@ LICENCES: tuple[tuple[str, str, str, tuple[str, ...]], ...] = (
     ("polyform-nc-1", "polyform", rf"polyform noncommercial {_L}(?: 1 0 0)?", ()),
     ("odbl-1", "database", rf"open database {_L}(?:{_V}1(?: 0)?)?", (r"opendatacommons org licenses odbl",)),
     ("odc-by-1", "commons", rf"open data commons attribution {_L}(?:{_V}1(?: 0)?)?", (r"opendatacommons org licenses by",)),
-    ("pddl-1", "commons", rf"open data commons public domain dedication and {_L}|public domain dedication and {_L}", (r"opendatacommons org licenses pddl",)),
+    ("pddl-1", "dedication", rf"(?:open data commons )?public domain dedication and {_L}", (r"opendatacommons org licenses pddl",)),
     ("ogl-uk-3", "government", rf"open government {_L}(?:{_V}3(?: 0)?)?", (r"nationalarchives gov uk doc open government licence",)),
     ("openrail", "rail", rf"(?:creativeml |bigscience )?open rail(?: m)?(?: {_L})?", ()),
     ("public-domain", "public domain", r"(?:dedicated to|released (?:in)?to|placed in(?:to)?|in) the public domain", ()),
@@ -181,10 +185,11 @@ def rules() -> list[Rule]:
     """Every signature, the highest priority first."""
     out = []
     for label, words, name, more in LICENCES:
+        # notices and names are tried where the words of the name occur
         if label != "proprietary":
             out.append(_rule(label, words, rf"{_NOTICE} (?:{name})", 80, 0.95))
         out.append(_rule(label, words, name, 60 if any(c.isdigit() for c in label) else 50, 0.3 if label == "proprietary" else 0.7))
-        out += [_rule(label, "", p, 70, 0.9) if not words else _rule(label, words, p, 70, 0.9) for p in more]
+        out += [_rule(label, " ".join(p.split()[:2]), p, 70, 0.9) for p in more]
     for label, short, long in _CC:
         later = r"(?:{_V}[1-4] [05])?".replace("{_V}", _V)
         last = short.split()[-1]

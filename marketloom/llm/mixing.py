@@ -65,15 +65,21 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("bigint")
 
 
-def _split(nodes: DataFrame, parents: DataFrame, level: int, s: Settings) -> DataFrame:
-    """Give the nodes of a level (name columns, tokens) their budget out of their parents'."""
+def _split(nodes: DataFrame, parents: DataFrame | float, level: int, s: Settings) -> DataFrame:
+    """Give the nodes of a level (name columns, tokens) their budget out of their parents'.
+
+    At the first level the parent is the root, whose budget is a number.
+    """
     up, name = list(LEVELS[:level]), LEVELS[level]
     named = s.weights.get(name.removeprefix("_"), {})
     share = F.create_map(*map(F.lit, chain(*named.items())))[F.col(name)].cast("double") if named else F.lit(None).cast("double")
     family = Window.partitionBy("_parent")
     order = family.orderBy(F.try_divide("cap", "weight").asc_nulls_last(), name)
     before, onwards = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    joined = nodes.join(parents.select(*up, F.col("budget").alias("given")), up) if up else nodes.crossJoin(F.broadcast(parents))
+    if up:
+        joined = nodes.join(parents.select(*up, F.col("budget").alias("given")), up)
+    else:
+        joined = nodes.withColumn("given", F.lit(float(parents)))
     return (
         joined.withColumns(
             {
@@ -106,8 +112,8 @@ def _split(nodes: DataFrame, parents: DataFrame, level: int, s: Settings) -> Dat
 
 def budgets(leaves: DataFrame, s: Settings) -> DataFrame:
     """Budget in tokens of every leaf (name columns, tokens, rows)."""
-    total = leaves.agg((F.coalesce(F.sum("tokens"), F.lit(0)) * min(s.budget_share, float(s.max_epochs))).cast("double").alias("given"))
-    parents: DataFrame = total
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    parents: DataFrame | float = total * min(s.budget_share, float(s.max_epochs))
     for level in range(len(LEVELS)):
         nodes = leaves.groupBy(*LEVELS[: level + 1]).agg(F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows"))
         parents = _split(nodes, parents, level, s)
@@ -159,8 +165,8 @@ def _ranked(rows: DataFrame, bits: int, s: Settings) -> DataFrame:
 def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, source, ...) once per epoch that takes them.
 
-    All columns stay and ``mix_epoch`` (from 0) is added; a column of that name, or of a name used
-    inside (_domain, _lang, _source, _hash, _range), is replaced. Null names are the empty name, a null text has no
+    All columns stay and ``mix_epoch`` (from 0) is added; columns of that name or of a name used
+    inside (_domain, _lang, _source, _hash, _range) are left out. Null names are the empty name, a null text has no
     tokens. Rows of equal doc_id stand at one place of the order and are taken or left together.
     An empty table gives an empty result.
     """
@@ -178,8 +184,6 @@ def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.col("last_range").isNull() | (F.col("_range") < F.col("last_range")) | ((F.col("_range") == F.col("last_range")) & (F.col("_hash") <= F.col("cut")))
     )
     epochs = F.col("whole") + F.coalesce(part, F.lit(False)).cast("int")
-    return (
-        rows.withColumn(EPOCH, F.explode(F.when(epochs > 0, F.sequence(F.lit(0), epochs - 1)).otherwise(F.array().cast("array<int>"))))
-        .withColumnsRenamed({v: k for k, v in clashing.items()})
-        .select(*[c for c in kept if c in inner.columns], EPOCH)
-    )
+    return rows.withColumn(
+        EPOCH, F.explode(F.when(epochs > 0, F.sequence(F.lit(0), epochs - 1)).otherwise(F.array().cast("array<int>")))
+    ).select(*[F.col(clashing.get(c, c)).alias(c) for c in kept if c in inner.columns], EPOCH)

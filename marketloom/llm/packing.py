@@ -2,9 +2,10 @@
 
 Pieces shorter than a sequence are dealt to parts of bounded size. Each part is packed by
 best-fit decreasing, and dual-feasible functions give a lower bound on its number of
-sequences. A part at its bound is done. The parts above theirs exchange pieces: what lies in
-their sequences with room left is dealt anew among them and packed again, as long as that saves
-sequences.
+sequences. A part at its bound is done, but for sequences less than half full, since parts that
+are each at their bound may still share those. The parts above theirs exchange pieces: what lies in
+their sequences with room left is dealt anew, to fewer and larger parts, and packed again, as
+long as that saves sequences.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ WORD_CACHE = 400_000  # words a worker remembers before it starts anew
 @dataclass(frozen=True)
 class Settings:
     """``tokenizer``: path of a tokenizers file on every executor, or null for the public
-    ``word_bpe_49k.json``; ``part_rows``: pieces packed in one task; ``rounds`` of exchange at most."""
+    ``word_bpe_49k.json``; ``part_rows``: pieces packed in one task of the first round, four times
+    as many in each later one; ``rounds`` at most, the first included."""
 
     length: int = 2048
     end_id: int = 0
@@ -150,7 +152,8 @@ def _packed(s: Settings):
         bound = lower_bound(lengths, s.length)
         bins = np.array(bins, np.int64)
         table = group.select(["row", "length", "part"]).take(pa.array(order))
-        loose = (np.array(left)[bins] > 0) & (len(left) > bound)
+        room = np.array(left, np.int64)[bins]
+        loose = (room > 0) & (len(left) > bound) | (2 * room > s.length)
         for name, values in (("bin", bins), ("offset", np.array(places, np.int64)), ("open", loose)):
             table = table.append_column(name, pa.array(values))
         return table
@@ -159,7 +162,8 @@ def _packed(s: Settings):
 
 
 def _packing(pieces: DataFrame, rows: int, number: int, s: Settings) -> DataFrame:
-    parts = parts_for(rows, s.part_rows)
+    # later rounds have fewer pieces and may gather more of them in a part
+    parts = parts_for(rows, s.part_rows * 4 ** (number - 1))
     dealt = pieces.select("row", "length", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(parts)).alias("part"))
     done = dealt.groupBy("part").applyInArrow(
         _packed(s), "row bigint, length bigint, part bigint, bin bigint, offset bigint, open boolean"

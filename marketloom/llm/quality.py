@@ -15,7 +15,7 @@ the output weights). That table is what is broadcast: ``2 ** bits`` floats at an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm import grams
-from marketloom.llm.base import Slice, labelled_sample, slices
+from marketloom.llm.base import Bags, Slice, labelled_sample, slices
 from marketloom.llm.scoring import SLICE_CHARS, held_out, scored
 
 HOLDOUT_MOD, HOLDOUT_REST = 5, 0
@@ -36,7 +36,7 @@ class Settings:
     bits: int = 18
     dims: int = 8
     sizes: tuple[int, ...] = (3, 4)
-    rows: int = 6_000
+    rows: int = 5_000
     max_chars: int = 50_000
     updates: int = 30_000
     rate: float = 0.5
@@ -57,21 +57,21 @@ def _bags(part: Slice, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield np.where(again, 0, grams.bucket(pairs, s.bits))[same], owner[: len(same)][same]
 
 
-def train(sample: list[tuple[str, int]], s: Settings) -> tuple[np.ndarray, float]:
+def train(sample: Iterable[tuple[str, int]], s: Settings) -> tuple[np.ndarray, float]:
     """Learn from (text, label) rows; returns the score of each bucket and the bias.
 
     Without rows of both labels the table is zero and the bias follows the smoothed share of
     label 1, so every text gets that share as its score.
     """
-    labels = np.array([y for _, y in sample], dtype=np.int64)
-    share = (labels.sum() + 1) / (len(labels) + 2)
-    if len(set(labels.tolist())) < 2:
-        return np.zeros(1 << s.bits, np.float32), float(np.log(share / (1 - share)))
-    bags = []
-    for text, _ in sample:
+    bags, labels = Bags(), []
+    for text, label in sample:
         found = [b for part in slices([text], SLICE_CHARS) for b, _ in _bags(part, s)]
         ids, counts = np.unique(np.concatenate(found).astype(np.int32), return_counts=True)
-        bags.append((ids, (counts / max(1, counts.sum())).astype(np.float32)))
+        bags.add(ids, counts / max(1, counts.sum()))
+        labels.append(label)
+    share = (sum(labels) + 1) / (len(labels) + 2)
+    if len(set(labels)) < 2:
+        return np.zeros(1 << s.bits, np.float32), float(np.log(share / (1 - share)))
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dims, 1 / s.dims, (1 << s.bits, s.dims)).astype(np.float32)
     output = np.zeros((2, s.dims), np.float32)
@@ -80,7 +80,7 @@ def train(sample: list[tuple[str, int]], s: Settings) -> tuple[np.ndarray, float
     total = epochs * len(bags)
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
-            ids, part = bags[i]
+            ids, part = bags.ids(i), bags.weights(i)
             rate = s.rate * (1 - done / total)
             done += 1
             hidden = part @ vectors[ids]

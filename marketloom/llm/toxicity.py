@@ -8,7 +8,7 @@ keeps only buckets with evidence, so the weights that are broadcast are a short
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm import grams
-from marketloom.llm.base import Slice, labelled_sample, slices
+from marketloom.llm.base import Bags, Slice, labelled_sample, slices
 from marketloom.llm.scoring import SLICE_CHARS, held_out, scored
 
 HOLDOUT_MOD, HOLDOUT_REST = 4, 2
@@ -31,7 +31,7 @@ class Settings:
     """
 
     bits: int = 20
-    rows: int = 16_000
+    rows: int = 12_000
     max_chars: int = 50_000
     min_docs: int = 4
     updates: int = 40_000
@@ -77,26 +77,26 @@ def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
     return np.where(np.abs(z) <= s.l1, 0.0, -shrunk / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
 
 
-def train(sample: list[tuple[str, int]], s: Settings) -> Model:
+def train(sample: Iterable[tuple[str, int]], s: Settings) -> Model:
     """Learn from (text, label) rows; without rows of both labels there are no weights, only the prior."""
-    labels = [y for _, y in sample]
+    bags, labels, texts_with = Bags(), [], np.zeros(1 << s.bits, np.int32)
+    for text, label in sample:
+        found = [_features(part, s)[0] for part in slices([text], SLICE_CHARS)]
+        bag = np.unique(np.concatenate(found))
+        texts_with[bag] += 1
+        bags.add(bag)
+        labels.append(label)
     share = (sum(labels) + 1) / (len(labels) + 2)
     bias = float(np.log(share / (1 - share)))
     if len(set(labels)) < 2:
         return Model(np.zeros(0, np.int64), np.zeros(0, np.float32), bias)
-    bags = []
-    for text, _ in sample:
-        found = [_features(part, s)[0] for part in slices([text], SLICE_CHARS)]
-        bags.append(np.unique(np.concatenate(found).astype(np.int32)))
-    texts_with = np.zeros(1 << s.bits, np.int32)
-    for bag in bags:
-        texts_with[bag] += 1
-    bags = [bag[texts_with[bag] >= s.min_docs] for bag in bags]
+    common = texts_with >= s.min_docs
     z, n, seen = np.zeros(1 << s.bits), np.zeros(1 << s.bits), 0.0
     rng = np.random.default_rng(s.seed)
     for _ in range(max(1, -(-s.updates // len(bags)))):
         for i in rng.permutation(len(bags)):
-            ids = bags[i]
+            ids = bags.ids(i)
+            ids = ids[common[ids]]
             z_i, n_i = z[ids], n[ids]
             w = _weights(z_i, n_i, s)
             g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - labels[i]
