@@ -2,10 +2,10 @@
 
 Pieces shorter than a sequence are dealt to parts of bounded size. Each part is packed by
 best-fit decreasing, and dual-feasible functions give a lower bound on its number of
-sequences. A part at its bound is done, but for sequences less than half full, since parts that
-are each at their bound may still share those. The parts above theirs exchange pieces: what lies in
-their sequences with room left is dealt anew, to fewer and larger parts, and packed again, as
-long as that saves sequences.
+sequences. A part above its bound may do better with other pieces, and so may one whose bound is
+above its volume: long pieces that nothing here fills up. These parts exchange pieces: what lies in
+their sequences with room left, and in sequences less than half full anywhere, is dealt anew, to
+fewer and larger parts, and packed again, as long as that saves sequences.
 """
 
 from __future__ import annotations
@@ -153,7 +153,8 @@ def _packed(s: Settings):
         bins = np.array(bins, np.int64)
         table = group.select(["row", "length", "part"]).take(pa.array(order))
         room = np.array(left, np.int64)[bins]
-        loose = (room > 0) & (len(left) > bound) | (2 * room > s.length)
+        wasteful = len(left) > min(bound, -(-int(lengths.sum()) // s.length))
+        loose = (room > 0) & wasteful | (2 * room > s.length)
         for name, values in (("bin", bins), ("offset", np.array(places, np.int64)), ("open", loose)):
             table = table.append_column(name, pa.array(values))
         return table
