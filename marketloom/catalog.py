@@ -185,6 +185,16 @@ def mart_monthly_revenue(spark, sf):
     )
 
 
+@query
+def mart_monthly_revenue_repeated(spark, sf):
+    """The mart over orders of which a third are stored twice, as repeated raw appends leave them."""
+    orders = stg_orders(spark, sf)
+    return marts.monthly_revenue(
+        stg_order_items(spark, sf), orders.unionByName(orders.where("order_id % 3 = 0")),
+        stg_products(spark, sf), stg_customers(spark, sf),
+    )
+
+
 @query
 def mart_customer_lifetime_value(spark, sf):
     return marts.customer_lifetime_value(
@@ -418,10 +428,10 @@ def refreshed_twice(spark, orders, build, keys, label):
 
 @query
 def merge_geo_by_key(spark, sf):
-    def build(orders):
+    def build(orders, cut):
         return marts.geo_performance(
-            orders, stg_order_items(spark, sf), stg_customers(spark, sf), stg_geolocation(spark, sf),
-            raw.state_meta(spark, sf),
+            orders, cut(stg_order_items(spark, sf), "order_id"), cut(stg_customers(spark, sf), "customer_id"),
+            stg_geolocation(spark, sf), raw.state_meta(spark, sf),
         )
 
     return refreshed_twice(spark, stg_orders(spark, sf), build, ["state_code", "order_month"], "geo")
@@ -429,9 +439,10 @@ def merge_geo_by_key(spark, sf):
 
 @query
 def merge_logistics_by_key(spark, sf):
-    def build(orders):
+    def build(orders, cut):
         return marts.logistics_performance(
-            orders, stg_reviews(spark, sf), stg_customers(spark, sf), stg_geolocation(spark, sf)
+            orders, cut(stg_reviews(spark, sf), "order_id"), cut(stg_customers(spark, sf), "customer_id"),
+            stg_geolocation(spark, sf),
         )
 
     return refreshed_twice(spark, stg_orders(spark, sf), build, ["customer_state", "order_month"], "logistics")
@@ -454,12 +465,38 @@ def append_new_items(spark, sf):
     items = stg_order_items(spark, sf)
     early = items.where(F.col("shipping_limit_date") < F.lit(FIRST_LOAD_END).cast("date"))
     path = scratch_path(spark, "append")
-    sinks.append_new(early, path)
-    sinks.append_new(items, path)
-    sinks.append_new(items, path)
+    sinks.append_new(early, path, within="shipping_limit_date")
+    sinks.append_new(items, path, within="shipping_limit_date")
+    sinks.append_new(items, path, within="shipping_limit_date")
+    return spark.read.parquet(path)
+
+
+@query
+def append_null_keys(spark, sf):
+    """Orders of which some have no key: those are kept as often as they occur, over two equal loads."""
+    orders = stg_orders(spark, sf).select(
+        F.when(F.col("order_id") % 9 != 0, F.col("order_id")).alias("order_id"), "customer_id", "order_status", "purchase_date"
+    )
+    path = scratch_path(spark, "append")
+    sinks.append_new(first_load(orders), path, "order_id", within="purchase_date")
+    sinks.append_new(orders, path, "order_id", within="purchase_date")
+    sinks.append_new(orders, path, "order_id", within="purchase_date")
     return spark.read.parquet(path)
 
 
+@query
+def merge_null_month(spark, sf):
+    """Order counts per customer merged in two runs; orders without a month keep a partition of their own."""
+    orders = stg_orders(spark, sf).withColumn(
+        "order_month", F.when(F.col("order_id") % 11 != 0, F.trunc("purchase_date", "MM"))
+    )
+    rows = orders.select("order_id", "order_status", "order_month")
+    path = scratch_path(spark, "merge")
+    incremental.upsert(rows.where("order_id % 2 = 0"), path, ["order_id"], "order_month")
+    incremental.upsert(rows.where("order_id % 3 = 0"), path, ["order_id"], "order_month")
+    return spark.read.parquet(path).select("order_id", "order_status", "order_month")
+
+
 # --- sources and sinks ---------------------------------------------------------------------
 
 
@@ -494,7 +531,9 @@ def raw_landing_strings(spark, sf):
     landed = files.to_raw_strings(files.with_audit(files.read_raw(spark, csv_folder(spark, sf, "payments"), "payments")))
     path = scratch_path(spark, "landing")
     sinks.full_refresh(landed, path)
-    return spark.read.parquet(path).drop("_ingested_at", "_source_file")
+    return spark.read.parquet(path).withColumn("has_source", F.col("_source_file").isNotNull()).drop(
+        "_ingested_at", "_source_file"
+    )
 
 
 @query
@@ -580,8 +619,11 @@ def source_hash_gate(spark, sf):
     runs = [("first", run(target)), ("repeated", run(target)), ("target_missing", run(f"{target}-new"))]
     sinks.export_csv(raw.raw_geolocation(spark, sf).where("geolocation_lat < 5.3"), source)
     runs.append(("changed", run(target)))
-    rows = [(step, record["status"], record.get("rows_raw", 0)) for step, record in runs]
-    return spark.createDataFrame(rows, "step STRING, status STRING, rows_loaded BIGINT")
+    steps = spark.createDataFrame([(step, record["run_id"]) for step, record in runs], "step STRING, run_id STRING")
+    # what the audit kept of these runs
+    return steps.join(ingest.run_history(spark, f"{folder}/audit"), "run_id").select(
+        "step", "status", F.coalesce("rows_raw", F.lit(0)).cast("bigint").alias("rows_loaded")
+    )
 
 
 # --- data quality ---------------------------------------------------------------------------
@@ -612,6 +654,7 @@ def dq_core_failures(spark, sf):
                 quality.NotNull("order_delivered_customer_date", 0.2),
                 quality.Rule("needs_delivery", "order_delivered_customer_date IS NOT NULL", 10),
                 quality.Rule("broken", "no_such_column > 0"),
+                quality.Rule("unreadable", "CAST(order_status AS INT) > 0"),  # fails on the first row it meets
             ]),
             quality.run_checks(t["order_items"], "order_items", [
                 quality.Between("price", low=1000, high=90000),

@@ -18,9 +18,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _within_range(parsed: Column, readable: Column, what: str) -> Column:
+    """``parsed``, or an error where a readable finite number did not fit; text that is no number stays NULL."""
+    lost = parsed.isNull() & readable.isNotNull() & ~F.isnan(readable) & (F.abs(readable) < float("inf"))
+    return F.when(lost, F.raise_error(F.lit(f"{what} out of range"))).otherwise(parsed)
+
+
 def money(c: Column | str) -> Column:
-    """Parse to cents in one rounding, half away from zero; NULL when it is not a number."""
-    return _col(c).try_cast(MONEY)
+    """Parse to cents in one rounding, half away from zero; NULL when it is not a number.
+
+    A number beyond the range of the money type is an error, never a silent NULL.
+    """
+    return _within_range(_col(c).try_cast(MONEY), _col(c).try_cast("double"), "amount")
 
 
 def money_sum(a: Column | str, b: Column | str) -> Column:
@@ -30,7 +39,8 @@ def money_sum(a: Column | str, b: Column | str) -> Column:
     take the wider and slower type.
     """
     narrow, wide = (_col(a).try_cast(t) + _col(b).try_cast(t) for t in ("decimal(17,6)", "decimal(24,6)"))
-    return F.coalesce(narrow, wide).try_cast(MONEY)
+    readable = _col(a).try_cast("double") + _col(b).try_cast("double")
+    return _within_range(F.coalesce(narrow, wide).try_cast(MONEY), readable, "amount")
 
 
 def to_float(c: Column | str) -> Column:

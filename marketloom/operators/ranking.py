@@ -5,7 +5,7 @@ key moves that key into one task. Here rows are range-partitioned into ordered s
 each slice is numbered on its own, and the row counts (and sums) of the slices before
 it are added. Slices are cut by row order, not by key, so a hot key spreads over many.
 
-The sliced frame is checkpointed: slice borders come from sampling, and every branch
+The sliced frame is stored: slice borders come from sampling, and every branch
 must see the same borders, also when tasks are run again.
 """
 
@@ -132,9 +132,15 @@ class Score:
 
 
 def _is_after(score: Score, key: str, border) -> Column:
-    value, last = F.col(score.column), F.lit(border[score.column])
-    beyond = value < last if score.descending else value > last
-    return beyond | ((value == last) & (F.col(key) > F.lit(border[key])))
+    """Whether a row comes after the border row; missing scores come last when descending, else first."""
+    value, bound = F.col(score.column), border[score.column]
+    if bound is None:
+        beyond, level = F.lit(False) if score.descending else value.isNotNull(), value.isNull()
+    else:
+        last = F.lit(bound)
+        beyond = (value < last) | value.isNull() if score.descending else value > last
+        level = value == last
+    return F.coalesce(beyond, F.lit(False)) | (F.coalesce(level, F.lit(False)) & (F.col(key) > F.lit(border[key])))
 
 
 def _bucket_borders(df: DataFrame, key: str, score: Score) -> list:
@@ -164,7 +170,8 @@ def assign_buckets(df: DataFrame, key: str, scores: Mapping[str, Score]) -> Data
 
     Only (score column, key) pairs are ordered, one skinny shuffle per score. The wide
     frame is then scored by comparing each row with the few border rows, so it is neither
-    shuffled nor joined. Score columns and key must not be NULL.
+    shuffled nor joined. A missing score ranks as a descending or ascending sort places it: last
+    or first. The key must not be NULL.
     """
     stable = settle(df)
     bucket_columns = []

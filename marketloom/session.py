@@ -61,8 +61,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage and cut its lineage.
 
-    Used where several branches must see the very same rows and row positions, also
-    after an executor is lost and its tasks run again.
+    Used where several branches must see the very same rows, also after an executor is lost
+    and its tasks run again. Stored as Parquet, so each branch reads only its columns.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

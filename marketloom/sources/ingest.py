@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.summaries import duplicate_rows
 from marketloom.sources.files import dataset_path, read_raw, to_raw_strings, with_audit
 from marketloom.sources.registry import DATASETS, Dataset
-from marketloom.sources.sinks import append_new, full_refresh, stored
+from marketloom.sources.sinks import append_new, export_json, full_refresh, stored
 
 MAX_NULL_RATE = 0.05
 AUDIT_COLUMNS = ("_ingested_at", "_source_file")
@@ -28,7 +29,7 @@ def validate_schema(df: DataFrame, dataset: Dataset) -> tuple[int, list[str]]:
     """Row count and warnings (duplicate keys, too many NULLs); raises SchemaError when fatal."""
     missing = [c for c in dataset.required if c not in df.columns]
     if missing:
-        raise SchemaError(f"[{dataset.name}] missing required columns: {missing}")
+        raise SchemaError(f"[{dataset.name}] required but absent: {', '.join(missing)}")
     facts = df.agg(
         F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in dataset.required]
     ).first()
@@ -39,11 +40,11 @@ def validate_schema(df: DataFrame, dataset: Dataset) -> tuple[int, list[str]]:
     if dataset.primary_key and dataset.primary_key in df.columns:
         duplicates = duplicate_rows(df, [dataset.primary_key]).first()[0]
         if duplicates:
-            warnings.append(f"[{dataset.name}] {duplicates} duplicate values of key '{dataset.primary_key}'")
+            warnings.append(f"[{dataset.name}] key {dataset.primary_key}: {duplicates} rows repeat another row's value")
     for column in dataset.required:
         rate = facts[column] / rows
         if rate > MAX_NULL_RATE:
-            warnings.append(f"[{dataset.name}] column '{column}' has {rate * 100:.1f}% nulls")
+            warnings.append(f"[{dataset.name}] {column}: {rate:.1%} of the rows lack a value")
     return rows, warnings
 
 
@@ -64,7 +65,8 @@ def load_dataset(
     landed = to_raw_strings(with_audit(raw))
     path = f"{target_dir.rstrip('/')}/{dataset.table}"
     if incremental and dataset.incremental_column:
-        return append_new(landed, path, dataset.primary_key, AUDIT_COLUMNS), "appended", warnings
+        count = append_new(landed, path, dataset.primary_key, AUDIT_COLUMNS, dataset.incremental_column)
+        return count, "appended", warnings
     full_refresh(landed, path)
     return spark.read.parquet(path).count(), "success", warnings
 
@@ -77,27 +79,34 @@ def ingest(
     incremental: bool = False,
     dry_run: bool = False,
     prefix: str = "",
+    manifest_path: str | None = None,
 ) -> DataFrame:
     """Load datasets one after the other; a failing one does not stop the rest.
 
-    Returns the manifest, one row per dataset.
+    Returns the manifest, one row per dataset, and writes it as JSON if ``manifest_path`` is given.
+    An unknown dataset and any error while loading one is a failed row.
     """
     manifest = []
     for name in datasets or DATASETS:
         dataset = DATASETS.get(name)
         if dataset is None:
+            manifest.append((name, None, 0, "failed", f"[{name}] unknown dataset", []))
             continue
         try:
             rows, status, warnings = load_dataset(spark, data_dir, dataset, target_dir, incremental, dry_run, prefix)
             manifest.append((name, dataset.table, rows, status, None, warnings))
         except SchemaError as error:
             manifest.append((name, dataset.table, 0, "failed", str(error), []))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            text = f"[{name}] no file at {dataset_path(data_dir, name, prefix)}"
+        except Exception as error:  # whatever it is, the other datasets go on
+            if isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND":
+                text = f"[{name}] no file at {dataset_path(data_dir, name, prefix)}"
+            else:
+                text = f"[{name}] {type(error).__name__}: {str(error).splitlines()[0][:500]}"
             manifest.append((name, dataset.table, 0, "failed", text, []))
-    return spark.createDataFrame(manifest, MANIFEST_SCHEMA)
+    result = spark.createDataFrame(manifest, MANIFEST_SCHEMA)
+    if manifest_path:
+        export_json(result.coalesce(1), manifest_path)
+    return result
 
 
 def write_record(spark: SparkSession, record: dict, path: str) -> None:
@@ -131,18 +140,13 @@ def content_fingerprint(spark: SparkSession, path: str, by_content: bool = True)
         digest = F.sha2("content", 256)
     else:
         digest = F.sha2(F.concat_ws("|", "path", "length", "modificationTime"), 256)
-    # Four 64-bit words, each folded by exclusive or, plus count and total length.
-    words = [F.xxhash64(digest, F.lit(i)) for i in range(4)]
+    # Four independent 64-bit words of each digest, summed: unlike exclusive or, equal parts add up.
+    words = [F.sum(F.xxhash64(digest, F.lit(i)).cast("decimal(38,0)")) for i in range(4)]
+    parts = F.concat_ws("|", F.count(F.lit(1)), F.sum("length"), *words)
     folded = files.agg(
-        F.min(digest).alias("single"),
-        F.count(F.lit(1)).alias("files"),
-        F.sum("length").alias("bytes"),
-        *[F.bit_xor(w).alias(f"w{i}") for i, w in enumerate(words)],
+        F.min(digest).alias("single"), F.count(F.lit(1)).alias("files"), F.sha2(parts, 256).alias("folded")
     ).first()
-    if folded["files"] == 1:
-        return folded["single"]
-    words_hex = "".join(f"{folded[f'w{i}'] & (2**64 - 1):016x}" for i in range(4))
-    return f"{words_hex}-{folded['files']}-{folded['bytes']}"
+    return folded["single"] if folded["files"] == 1 else folded["folded"]
 
 
 def run_gated(
@@ -153,17 +157,19 @@ def run_gated(
     targets: Iterable[str],
     load: Callable[[], dict],
     incremental: bool = True,
+    by_content: bool = True,
 ) -> dict:
     """Run ``load`` unless the source is unchanged and all targets exist; always write the audit.
 
     ``load`` returns figures for the audit record (rows, warnings). On success the
-    fingerprint is kept for the next run.
+    fingerprint is kept for the next run. Each run has an id and a record of its own under
+    ``audit_path``, see ``run_history``. ``by_content=False`` suits files too large to hash whole.
     """
     started = dt.datetime.now(dt.timezone.utc)
-    record = {"source": source, "mode": "incremental" if incremental else "full",
-              "started_at": started.isoformat(), "status": "running"}
+    record = {"run_id": f"{started:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}", "source": source,
+              "mode": "incremental" if incremental else "full", "started_at": started.isoformat(), "status": "running"}
     try:
-        fingerprint = content_fingerprint(spark, source)
+        fingerprint = content_fingerprint(spark, source, by_content)
         last = read_record(spark, state_path) if incremental else None
         unchanged = last is not None and last.get("last_hash") == fingerprint
         if unchanged and all(stored(spark, t) is not None for t in targets):
@@ -178,5 +184,16 @@ def run_gated(
     finally:
         finished = dt.datetime.now(dt.timezone.utc)
         record.update(finished_at=finished.isoformat(), elapsed_seconds=round((finished - started).total_seconds(), 2))
-        write_record(spark, record, audit_path)
+        write_record(spark, record, f"{audit_path}/run={record['run_id']}")
     return record
+
+
+def run_history(spark: SparkSession, audit_path: str) -> DataFrame:
+    """One row per audited run, as text of its JSON record and its main fields; ids sort by start."""
+    fields = ("run_id", "source", "mode", "status", "error", "started_at", "finished_at")
+    records = spark.read.text(f"{audit_path}/run=*")
+    return records.select(
+        *[F.get_json_object("value", f"$.{f}").alias(f) for f in fields],
+        F.get_json_object("value", "$.rows_raw").try_cast("bigint").alias("rows_raw"),
+        F.col("value").alias("record"),
+    )

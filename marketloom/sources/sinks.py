@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,36 +41,58 @@ def monthly_partitioned(
     return month
 
 
-def append_new(df: DataFrame, path: str, key: str | None = None, audit: Sequence[str] = ()) -> int:
+COPIES = 10_000  # copies of a repeated row that one step of an append writes
+
+
+def _not_stored(df: DataFrame, existing: DataFrame, audit: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` less those of ``existing``, as multisets; ``audit`` columns are not compared."""
+    data = [c for c in df.columns if c not in audit]
+    counted = df.groupBy(*data).agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in audit])
+    known = existing.groupBy(*data).agg((-F.count(F.lit(1))).alias("_n"))
+    left_over = (
+        counted.unionByName(known, allowMissingColumns=True)
+        .groupBy(*data)
+        .agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in audit])
+        .where(F.col("_n") > 0)
+    )
+    # Copies in steps, so that a row with very many of them is never one long array.
+    steps = F.explode(F.sequence(F.lit(1), F.col("_n"), F.lit(COPIES)))
+    copies = F.explode(F.sequence(F.col("_step"), F.least(F.col("_step") + COPIES - 1, F.col("_n"))))
+    stepped = left_over.withColumn("_step", steps)
+    return stepped.select(*df.columns, copies.alias("_copy")).drop("_copy")
+
+
+def append_new(
+    df: DataFrame, path: str, key: str | None = None, audit: Sequence[str] = (), within: str | None = None
+) -> int:
     """Append rows not stored yet and return their number; a repeated load adds nothing.
 
-    With a ``key``, rows whose key is stored are left out. Without one, the stored rows are
-    subtracted as a multiset, so equal rows are kept as often as they occur; ``audit``
-    columns (load time, file) take no part in that comparison.
+    With a ``key``, rows whose key is stored are left out; only the key column of the table is
+    read for it. Equal keys inside one load are all stored. Rows without a key, and all rows
+    of a table without one, are subtracted as a multiset, so equal rows are kept as often as they occur;
+    ``audit`` columns (load time, file) take no part in that comparison. Equal rows have equal
+    values of ``within``, the table's incremental column, so only the stored rows between the
+    least and the greatest value of the load are read for it.
     """
     spark = df.sparkSession
     existing = stored(spark, path)
-    before = 0
     new = df
     if existing is not None:
-        before = existing.count()
+        bounded = existing
+        if within:
+            low, high = df.agg(F.min(within), F.max(within)).first()
+            column = F.col(within)
+            inside = column.isNull() if low is None else column.isNull() | column.between(F.lit(low), F.lit(high))
+            bounded = existing.where(inside)
         if key:
-            keys = existing.select(F.col(key).alias("_stored_key"))
-            new = df.join(keys, F.col(key).eqNullSafe(F.col("_stored_key")), "left_anti")
+            keyed, bare = F.col(key).isNotNull(), F.col(key).isNull()
+            fresh = df.where(keyed).join(existing.where(keyed).select(key), key, "left_anti").select(*df.columns)
+            new = fresh.unionByName(_not_stored(df.where(bare), bounded.where(bare), audit))
         else:
-            data = [c for c in df.columns if c not in audit]
-            counted = df.groupBy(*data).agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in audit])
-            known = existing.groupBy(*data).agg((-F.count(F.lit(1))).alias("_n"))
-            left_over = (
-                counted.unionByName(known, allowMissingColumns=True)
-                .groupBy(*data)
-                .agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in audit])
-                .where(F.col("_n") > 0)
-            )
-            copies = F.explode(F.sequence(F.lit(1), F.col("_n")))
-            new = left_over.select(*df.columns, copies.alias("_copy")).drop("_copy")
-    new.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - before
+            new = _not_stored(df, bounded, audit)
+    written = Observation()
+    new.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return written.get["rows"]
 
 
 def materialize(

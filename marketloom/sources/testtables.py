@@ -153,7 +153,6 @@ _CHANNELS = "array('paid_search', 'organic_search', 'social', 'email', 'referral
 def _lead_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
-        .where("event_type IN ('signup', 'click')")
         .withColumn("first_contact_date", F.expr("date_add(CAST(ts AS DATE), CAST(event_id % 12 * 30 AS INT))"))
     )
 

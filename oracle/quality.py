@@ -222,8 +222,8 @@ def _schema_row(name: str, table: str, key: str | None, nullable: str | None) ->
     """Rows, warnings and text; only the given key and column can warn in the test data."""
     dup = f"(SELECT COUNT(*) - COUNT(DISTINCT {key}) FROM {table})" if key else "0"
     rate = f"(SELECT AVG(CASE WHEN {nullable} IS NULL THEN 1.0::DOUBLE ELSE 0 END) FROM {table})" if nullable else "0"
-    first = f"CASE WHEN {dup} > 0 THEN '[{name}] ' || {dup} || ' duplicate values of key ''{key}''' END"
-    second = f"CASE WHEN {rate} > 0.05 THEN printf('[{name}] column ''{nullable}'' has %.1f%% nulls', {rate} * 100) END"
+    first = f"CASE WHEN {dup} > 0 THEN '[{name}] key {key}: ' || {dup} || ' rows repeat another row''s value' END"
+    second = f"CASE WHEN {rate} > 0.05 THEN printf('[{name}] {nullable}: %.1f%% of the rows lack a value', {rate} * 100) END"
     return f"""SELECT '{name}' AS dataset, (SELECT COUNT(*) FROM {table}) AS rows,
         CAST(({dup} > 0)::INT + ({rate} > 0.05)::INT AS BIGINT) AS warnings, concat_ws('; ', {first}, {second}) AS detail"""
 
@@ -238,7 +238,9 @@ BODIES = {
                CAST(ROUND(COUNT(*) FILTER (WHERE passed) * 100.0 / COUNT(*), 1) AS DOUBLE) AS pass_rate FROM core_results""",
     "dq_core_failures": _union(FAILING) + """
         UNION ALL SELECT 'orders-03', 'business_rule:broken', 'orders', 'multiple', 'FAIL', FALSE, NULL,
-        'evaluation_error=UNRESOLVED_COLUMN.WITH_SUGGESTION'""",
+        'evaluation_error=UNRESOLVED_COLUMN.WITH_SUGGESTION'
+        UNION ALL SELECT 'orders-04', 'business_rule:unreadable', 'orders', 'multiple', 'FAIL', FALSE, NULL,
+        'evaluation_error=CAST_INVALID_INPUT'""",
     "dq_won_after_contact": _union([WON]),
     "dq_geo_suite": _geo_checks(),
     "dq_geo_preload": """
@@ -319,7 +321,7 @@ BODIES |= {
         SELECT 'orders' AS dataset, COUNT(*) AS row_count FROM raw_orders
         UNION ALL SELECT 'sellers', COUNT(*) FROM raw_sellers
         UNION ALL SELECT 'closed_deals', COUNT(*) FROM raw_closed_deals""",
-    "raw_landing_strings": "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM raw_order_payments",
+    "raw_landing_strings": "SELECT CAST(COLUMNS(*) AS VARCHAR), TRUE AS has_source FROM raw_order_payments",
     "read_csv_typed": "SELECT * FROM raw_geolocation",
     "read_csv_dates": """
         SELECT order_id, order_status, order_purchase_timestamp, order_approved_at, order_delivered_carrier_date,
@@ -336,6 +338,13 @@ BODIES |= {
     "merge_logistics_by_key": "SELECT * FROM mart_logistics_performance",
     "append_new_orders": "SELECT * FROM stg_orders",
     "append_new_items": "SELECT * FROM stg_order_items",
+    "append_null_keys": """
+        SELECT CASE WHEN order_id % 9 <> 0 THEN order_id END AS order_id, customer_id, order_status, purchase_date
+        FROM stg_orders""",
+    "merge_null_month": """
+        SELECT order_id, order_status,
+               CASE WHEN order_id % 11 <> 0 THEN CAST(date_trunc('month', purchase_date) AS DATE) END AS order_month
+        FROM stg_orders WHERE order_id % 2 = 0 OR order_id % 3 = 0""",
     "global_ntile_customers": """
         SELECT customer_id, CAST(spend AS DOUBLE) AS spend, CAST(NTILE(10) OVER (ORDER BY spend DESC, customer_id) AS INT) AS decile
         FROM (SELECT customer_id, SUM(item_total) AS spend

@@ -63,7 +63,7 @@ FRAGMENTS = {
               SELECT o_orderkey, o_orderdate, 1 + (o_orderkey + 2) % 5 FROM orders WHERE o_orderkey % 7 = 0)""",
     "lead_events": """
         SELECT *, CAST(CAST(ts AS DATE) + CAST(event_id % 12 * 30 AS INT) AS DATE) AS first_contact_date
-        FROM events WHERE event_type IN ('signup', 'click')""",
+        FROM events""",
     "raw_marketing_qualified_leads": """
         SELECT event_id AS mql_id, first_contact_date, json_extract_string(props, '$.k') AS landing_page_id,
                CASE WHEN event_id % 133 <> 0 THEN

@@ -8,7 +8,7 @@ _PLAIN = (
     "stg_marketing_leads", "stg_geolocation", "stg_geolocation_exact",
     "dim_date", "dim_geography", "dim_customer", "dim_product", "dim_seller", "dim_payment_type", "dim_marketing_channel",
     "fact_orders", "fact_order_items", "fact_marketing_funnel", "fact_payments",
-    "mart_monthly_revenue", "mart_customer_lifetime_value", "mart_geo_performance", "mart_seller_performance",
+    "mart_monthly_revenue", "mart_monthly_revenue_repeated", "mart_customer_lifetime_value", "mart_geo_performance", "mart_seller_performance",
     "mart_marketing_funnel", "mart_marketing_funnel_any", "mart_logistics_performance", "mart_product_performance",
     "product_aggregate", "repeat_buyers",
 )

@@ -110,3 +110,10 @@ def test_default_calendar(spark):
     assert christmas["first_day_of_half_year"] == dt.date(2017, 7, 1) and christmas["day_of_week"] == 2
     sunday = rows[dt.date(2016, 1, 3)]
     assert not sunday["is_weekday"] and sunday["week_of_year"] == 1 and sunday["date_key"] == "20160103"
+
+
+def test_amount_out_of_range_is_an_error(spark):
+    assert one(spark, money("t"), t="no number") is None
+    assert one(spark, money("t"), t="NaN") is None
+    with pytest.raises(Exception, match="out of range"):
+        one(spark, money("t"), t="12345678901234567.00")

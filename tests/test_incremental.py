@@ -47,7 +47,7 @@ def events(spark, *rows):
     return spark.createDataFrame([(s, dt.date.fromisoformat(d)) for s, d in rows], "state string, day date")
 
 
-def monthly(df):
+def monthly(df, cut=None):
     return df.groupBy("state", F.trunc("day", "MM").alias("order_month")).agg(F.count(F.lit(1)).cast("int").alias("n"))
 
 
@@ -139,3 +139,50 @@ def test_merge_inside_foreach_batch(spark):
     )
     query.awaitTermination()
     assert content(stored(spark, path)) == [("A", "2018-01-01", 1), ("B", "2018-01-01", 2)]
+
+
+def test_merge_keeps_rows_without_a_month(spark):
+    path = scratch_path(spark, "null-month")
+    schema = "state string, order_month date, n int"
+    day = dt.date(2018, 1, 1)
+    full_refresh(spark.createDataFrame([("a", day, 1), ("b", None, 2), ("c", None, 3)], schema), path, ["order_month"])
+    upsert(spark.createDataFrame([("d", None, 4), ("c", None, 5)], schema), path, ["state"], "order_month")
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("state", "n").collect())
+    assert got == [("a", 1), ("b", 2), ("c", 5), ("d", 4)]
+
+
+def test_append_keeps_rows_without_a_key(spark):
+    path = scratch_path(spark, "null-key")
+    schema = "k int, v int, day date"
+    day = dt.date(2018, 1, 1)
+    assert append_new(spark.createDataFrame([(1, 1, day), (None, 2, day)], schema), path, "k", within="day") == 2
+    more = spark.createDataFrame([(1, 9, day), (None, 2, day), (None, 2, day), (None, 4, None), (2, 5, day)], schema)
+    assert append_new(more, path, "k", within="day") == 3
+    assert append_new(more, path, "k", within="day") == 0
+    got = sorted((str(r["k"]), r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == [("1", 1), ("2", 5), ("None", 2), ("None", 2), ("None", 4)]
+
+
+def test_append_of_very_many_copies(spark, monkeypatch):
+    from marketloom.sources import sinks
+
+    monkeypatch.setattr(sinks, "COPIES", 7)
+    path = scratch_path(spark, "copies")
+    assert append_new(spark.range(3).selectExpr("'x' AS v"), path) == 3
+    assert append_new(spark.range(100).selectExpr("'x' AS v"), path) == 97
+    assert spark.read.parquet(path).count() == 100
+
+
+def test_incremental_run_cuts_its_other_inputs(spark):
+    path = scratch_path(spark, "cut")
+    details = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "state string, weight int")
+    seen = []
+
+    def build(df, cut):
+        kept = cut(details, "state")
+        seen.append(sorted(r["state"] for r in kept.collect()))
+        return monthly(df.join(kept, "state"))
+
+    refresh(build, events(spark, ("A", "2018-01-05"), ("B", "2018-03-05")), path, "day", ["state", "order_month"])
+    refresh(build, events(spark, ("A", "2018-01-05"), ("B", "2018-03-05"), ("C", "2018-03-06")), path, "day", ["state", "order_month"])
+    assert seen == [["A", "B", "C"], ["B", "C"]]

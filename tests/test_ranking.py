@@ -129,3 +129,27 @@ def test_hot_value_spreads_over_slices(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 40_000 / 4
+
+
+@pytest.mark.parametrize("missing", [1, 3, 40])
+def test_missing_scores_rank_as_a_sort_places_them(spark, missing):
+    rows = [(i, None if i % 41 < missing else i * 7 % 11) for i in range(123)]
+    df = spark.createDataFrame(rows, "id int, v int")
+    got = assign_buckets(df, "id", {"up": Score("v", 4), "down": Score("v", 4, descending=True)}).toPandas()
+    want = df.selectExpr("id", "ntile(4) OVER (ORDER BY v, id) AS up", "ntile(4) OVER (ORDER BY v DESC, id) AS down").toPandas()
+    merged = got.merge(want, on="id", suffixes=("", "_want"))
+    assert (merged["up"] == merged["up_want"]).all() and (merged["down"] == merged["down_want"]).all()
+
+
+def test_scores_read_two_columns_each(spark):
+    df = spark.range(200).selectExpr("id", "id % 17 AS v", "repeat('x', 50) AS wide", "id * 2 AS other")
+    seen = []
+    from marketloom.operators import ranking
+
+    slices = ranking.slice_in_order
+    try:
+        ranking.slice_in_order = lambda part, order: seen.append(part._jdf.queryExecution().executedPlan().toString()) or slices(part, order)
+        assign_buckets(df, "id", {"b": Score("v", 4)})
+    finally:
+        ranking.slice_in_order = slices
+    assert len(seen) == 1 and "ReadSchema: struct<id:bigint,v:bigint>" in seen[0]

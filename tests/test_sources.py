@@ -55,11 +55,11 @@ def test_one_failing_dataset_does_not_stop_the_rest(spark, folder):
     manifest = {r["dataset"]: r for r in ingest.ingest(spark, folder, target, names).collect()}
     assert {k: (r["status"], r["rows"]) for k, r in manifest.items()} == {
         "orders": ("success", 3), "customers": ("success", 2), "sellers": ("failed", 0), "products": ("failed", 0),
-        "payments": ("failed", 0),
+        "payments": ("failed", 0), "nonsense": ("failed", 0),
     }
     warnings = " ".join(manifest["orders"]["warnings"])
-    assert "1 duplicate values of key 'order_id'" in warnings and "'customer_id' has 33.3% nulls" in warnings
-    assert "missing required columns" in manifest["sellers"]["error"] and "no rows" in manifest["products"]["error"]
+    assert "key order_id: 1 rows repeat" in warnings and "customer_id: 33.3% of the rows lack a value" in warnings
+    assert "required but absent" in manifest["sellers"]["error"] and "no rows" in manifest["products"]["error"]
     assert sinks.stored(spark, f"{target}/raw_sellers") is None
 
 
@@ -111,13 +111,41 @@ def test_gate_audits_failures_and_keeps_the_old_state(spark, folder):
 
     with pytest.raises(ValueError, match="quality"):
         ingest.run_gated(spark, f"{folder}/orders.csv", state, audit, [], broken)
-    record = ingest.read_record(spark, audit)
-    assert record["status"] == "failed" and "quality" in record["error"] and "finished_at" in record
+    record = ingest.run_history(spark, audit).first()
+    assert record["status"] == "failed" and "quality" in record["error"] and record["finished_at"]
     assert ingest.read_record(spark, state) is None
     assert ingest.run_gated(spark, f"{folder}/orders.csv", state, audit, [], dict)["status"] == "success"
     assert ingest.run_gated(spark, f"{folder}/orders.csv", state, audit, [], dict)["status"] == "skipped_no_change"
     full = ingest.run_gated(spark, f"{folder}/orders.csv", state, audit, [], dict, incremental=False)
     assert full["status"] == "success"
+    history = ingest.run_history(spark, audit).orderBy("run_id").collect()
+    assert [r["status"] for r in history] == ["failed", "success", "skipped_no_change", "success"]
+    sized = ingest.run_gated(spark, f"{folder}/orders.csv", state, audit, [], dict, by_content=False)
+    assert sized["status"] == "success"
+
+
+def test_equal_parts_do_not_cancel(spark, tmp_path):
+    prints = []
+    for name, parts in (("a", ("xx", "xx")), ("b", ("yy", "yy")), ("c", ("xx", "yy")), ("d", ("yy", "xx"))):
+        (tmp_path / name).mkdir()
+        for i, text in enumerate(parts):
+            (tmp_path / name / f"part-{i}").write_text(text)
+        prints.append(ingest.content_fingerprint(spark, str(tmp_path / name)))
+    assert len(set(prints)) == 3 and prints[2] == prints[3]
+
+
+def test_a_broken_file_is_one_failed_row(spark, folder, tmp_path):
+    from pathlib import Path
+
+    target, manifest = str(tmp_path / "raw"), str(tmp_path / "manifest")
+    source = Path(folder, ingest.DATASETS["sellers"].file)
+    source.unlink()
+    source.mkdir()
+    (source / "part-0.csv.gz").write_bytes(b"this is no archive")
+    rows = ingest.ingest(spark, folder, target, ["sellers", "orders", "unheard_of"], manifest_path=manifest).collect()
+    assert [(r["dataset"], r["status"]) for r in rows][0] == ("sellers", "failed")
+    assert [r["status"] for r in rows][2] == "failed" and "unknown" in rows[2]["error"]
+    assert spark.read.json(manifest).count() == 3
 
 
 def test_layout_of_a_partitioned_table(spark, sf_dir):
