@@ -143,50 +143,53 @@ FRAGMENTS = {
 
 
 def _geo_checks() -> str:
-    def zero(text: str) -> tuple[str, str, str]:
-        return "0", "TRUE", f"'{text}'"
+    none = ("0", "TRUE", "'0 of ' || n || ' rows'")
 
-    pct = "CAST({0} AS DOUBLE) / n * 100"
+    def rows(name: str, passed: str) -> tuple[str, str, str]:
+        return name, passed, f"{name} || ' of ' || n || ' rows'"
 
-    def few(name: str, limit: float, text: str) -> tuple[str, str, str]:
-        share = pct.format(name)
-        return name, f"{share} < {limit}", f"printf('{text}', {name}, {share})"
+    def few(name: str, limit: float) -> tuple[str, str, str]:
+        share = f"CAST({name} AS DOUBLE) / n * 100"
+        return name, f"{share} < {limit}", f"printf('%d of %d rows, %.4f%%', {name}, n, {share})"
+
+    def within(value: str, low: float, high: float, form: str) -> tuple[str, str, str]:
+        return "0", f"{value} BETWEEN {low} AND {high}", f"printf('{form}, expected {form} to {form}', {value}, {low}, {high})"
+
+    def real(value: str, low: int, high: int, digits: int) -> tuple[str, str, str]:
+        return within(value, f"{low}::DOUBLE", f"{high}::DOUBLE", f"%.{digits}f")
 
     checks = [
-        ("CRITICAL", *zero("All 5 required columns present")),
-        ("WARNING", *zero("Expected 5, found 5")),
-        ("CRITICAL", *zero("0 non-numeric lat values")),
-        ("CRITICAL", *zero("0 non-numeric lng values")),
-        ("WARNING", *zero("0 non-numeric zip values")),
-        ("CRITICAL", *zero("0 null zip values")),
-        ("CRITICAL", *zero("0 null lat values")),
-        ("CRITICAL", *zero("0 null lng values")),
-        ("WARNING", *zero("0 null city values (0.000%)")),
-        ("CRITICAL", *zero("0 null state values")),
-        ("CRITICAL", *zero("0 out of range")),
-        ("CRITICAL", *zero("0 out of range")),
-        ("WARNING", *few("lat_box", 0.01, "%d rows (%.4f%%) outside [-35.0,5.3]")),
-        ("WARNING", *few("lng_box", 0.01, "%d rows (%.4f%%) outside [-74.0,-28.0]")),
-        ("CRITICAL", *zero("0 (0,0) rows")),
-        ("WARNING", "north", "north < 10", "north || ' rows lat>10'"),
-        ("INFO", *few("coarse", 5, "%d rows (%.2f%%) with lat precision < 4 d.p.")),
-        ("WARNING", "bad_state", "bad_state = 0", "bad_state || ' invalid state codes'"),
-        ("INFO", "0", "states >= 25", "states || ' distinct state codes (expected 25)'"),
-        ("WARNING", *zero("0 invalid zip codes")),
+        ("CRITICAL", "0", "TRUE", "'absent: none'"),
+        ("WARNING", "0", "TRUE", "'5, expected 5 to 5'"),
+        ("CRITICAL", *none),
+        ("CRITICAL", *none),
+        ("WARNING", *none),
+        ("CRITICAL", *none),
+        ("CRITICAL", *none),
+        ("CRITICAL", *none),
+        ("WARNING", *few("0", 0.5)),
+        ("CRITICAL", *none),
+        ("CRITICAL", *none),
+        ("CRITICAL", *none),
+        ("WARNING", *few("lat_box", 0.01)),
+        ("WARNING", *few("lng_box", 0.01)),
+        ("CRITICAL", *none),
+        ("WARNING", *rows("north", "north < 10")),
+        ("INFO", *few("coarse", 5)),
+        ("WARNING", *rows("bad_state", "bad_state = 0")),
+        ("INFO", "0", "states >= 25", "states || ', expected 25 or more'"),
+        ("WARNING", *none),
         ("WARNING", "uncovered", "uncovered * 100.0 / wanted < 5",
-         "printf('%d of %d customer zips (%.1f%%) not in geo table', uncovered, wanted, CAST(uncovered AS DOUBLE) / wanted * 100)"),
-        ("INFO", "0", "largest = 'NATION_0'", "'Largest: ' || largest"),
-        ("WARNING", "0", "zips BETWEEN 15000 AND 25000", "zips || ' unique zips'"),
-        ("WARNING", "0", "n BETWEEN 900000 AND 1100000", "n || ' total rows'"),
-        ("INFO", "0", "CAST(n AS DOUBLE) / kept BETWEEN 40 AND 60",
-         "printf('Dedup ratio=%.1fx (%d -> %d)', CAST(n AS DOUBLE) / kept, n, kept)"),
-        ("WARNING", *zero("0 rows (0.000%) with suspicious city names")),
-        ("INFO", "lat_tail", f"{pct.format('lat_tail')} < 2",
-         f"printf('%d rows (%.2f%%) outside [%.2f,%.2f]', lat_tail, {pct.format('lat_tail')}, lat1, lat99)"),
-        ("INFO", "lng_tail", f"{pct.format('lng_tail')} < 2",
-         f"printf('%d rows (%.2f%%) outside [%.2f,%.2f]', lng_tail, {pct.format('lng_tail')}, lng1, lng99)"),
-        ("INFO", "0", "lat_std BETWEEN 4 AND 8", "printf('std=%.3f', lat_std)"),
-        ("INFO", "0", "lng_std BETWEEN 3 AND 6", "printf('std=%.3f', lng_std)"),
+         "printf('%d of %d zips, %.4f%%', uncovered, wanted, CAST(uncovered AS DOUBLE) / wanted * 100)"),
+        ("INFO", "0", "largest = 'NATION_0'", "largest || ', expected NATION_0'"),
+        ("WARNING", *within("zips", 15000, 25000, "%d")),
+        ("WARNING", *within("n", 900000, 1100000, "%d")),
+        ("INFO", *real("(CAST(n AS DOUBLE) / kept)", 40, 60, 1)),
+        ("WARNING", *few("0", 1.0)),
+        ("INFO", *few("lat_tail", 2)),
+        ("INFO", *few("lng_tail", 2)),
+        ("INFO", *real("lat_std", 4, 8, 3)),
+        ("INFO", *real("lng_std", 3, 6, 3)),
     ]
     return "\nUNION ALL\n".join(
         f"""SELECT 'GEO-{i:02d}' AS check_id, '{severity}' AS severity,
@@ -245,14 +248,14 @@ BODIES = {
     "dq_geo_suite": _geo_checks(),
     "dq_geo_preload": """
         SELECT 'warning' AS level, 'lat_box' AS rule, 'geolocation_lat' AS "column", lat_box AS rows_affected,
-               lat_box || ' rows outside lat bounds, will be filtered' AS detail FROM geo_facts WHERE lat_box > 0
+               lat_box || ' of ' || n || ' rows' AS detail FROM geo_facts WHERE lat_box > 0
         UNION ALL SELECT 'warning', 'lng_box', 'geolocation_lng', lng_box,
-               lng_box || ' rows outside lng bounds, will be filtered' FROM geo_facts WHERE lng_box > 0
-        UNION ALL SELECT 'stat', 'total_rows', '*', n, n || ' rows' FROM geo_facts
-        UNION ALL SELECT 'stat', 'unique_zips', 'geolocation_zip_code_prefix', zips, zips || ' distinct' FROM geo_facts
-        UNION ALL SELECT 'stat', 'unique_states', 'geolocation_state', states, states || ' distinct' FROM geo_facts
-        UNION ALL SELECT 'stat', 'unique_cities', 'geolocation_city', COUNT(DISTINCT geolocation_city),
-               COUNT(DISTINCT geolocation_city) || ' distinct' FROM raw_geolocation""",
+               lng_box || ' of ' || n || ' rows' FROM geo_facts WHERE lng_box > 0
+        UNION ALL SELECT 'stat', 'rows', '*', n, CAST(n AS VARCHAR) FROM geo_facts
+        UNION ALL SELECT 'stat', 'zips', 'geolocation_zip_code_prefix', zips, CAST(zips AS VARCHAR) FROM geo_facts
+        UNION ALL SELECT 'stat', 'states', 'geolocation_state', states, CAST(states AS VARCHAR) FROM geo_facts
+        UNION ALL SELECT 'stat', 'cities', 'geolocation_city', COUNT(DISTINCT geolocation_city),
+               CAST(COUNT(DISTINCT geolocation_city) AS VARCHAR) FROM raw_geolocation""",
     "dq_schema_validation": "\nUNION ALL\n".join(
         _schema_row(*row) for row in (
             ("orders", "raw_orders", "order_id", "order_delivered_customer_date"),

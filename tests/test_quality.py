@@ -143,10 +143,11 @@ def test_geo_suite_against_pandas(spark):
     want["GEO-28"] = ((lng < q1) | (lng > q3)).sum()
     assert {k: got[k]["rows_affected"] for k in want} == want
     assert got["GEO-03"]["status"] == "FAIL" and got["GEO-05"]["status"] == "WARN" and got["GEO-16"]["status"] == "PASS"
-    assert got["GEO-19"]["detail"].startswith(f"{state.nunique()} distinct")
-    assert got["GEO-22"]["status"] == "PASS" and got["GEO-22"]["detail"] == "Largest: SP"
-    assert got["GEO-25"]["detail"] == f"Dedup ratio={len(rows) / 10:.1f}x ({len(rows)} -> 10)"
-    assert got["GEO-29"]["detail"] == f"std={lat.std():.3f}" and got["GEO-30"]["detail"] == f"std={lng.std():.3f}"
+    assert got["GEO-19"]["detail"].startswith(f"{state.nunique()}, expected")
+    assert got["GEO-22"]["status"] == "PASS" and got["GEO-22"]["detail"] == "SP, expected SP"
+    assert got["GEO-25"]["detail"] == f"{len(rows) / 10:.1f}, expected 40.0 to 60.0"
+    assert got["GEO-29"]["detail"] == f"{lat.std():.3f}, expected 4.000 to 8.000"
+    assert got["GEO-30"]["detail"] == f"{lng.std():.3f}, expected 3.000 to 6.000"
     assert not may_proceed(quality_geo.geo_suite(df))
 
 
@@ -154,7 +155,7 @@ def test_geo_suite_on_clean_points_and_skipped_checks(spark):
     df = spark.createDataFrame(geo_rows(), GEO)
     results = quality_geo.geo_suite(df)
     assert may_proceed(results)  # warnings do not stop a run
-    skipped = {r["check_id"]: r for r in results.where("rule LIKE '%skipped%'").collect()}
+    skipped = {r["check_id"]: r for r in results.where("detail LIKE 'not checked%'").collect()}
     assert set(skipped) == {"GEO-21", "GEO-25"} and all(r["passed"] for r in skipped.values())
 
 
@@ -172,7 +173,7 @@ def test_preload_levels(spark):
     many = few.union(spark.createDataFrame([(None, 50.0, -45.0, "c", "ZZ")] * 2, GEO))
     found = {(r["level"], r["rule"]): r["rows_affected"] for r in quality_geo.geo_preload(many).collect()}
     assert found["error", "nulls"] == 3 and found["warning", "lat_box"] == 2 and found["warning", "bad_state"] == 2
-    assert found["stat", "total_rows"] == 153
+    assert found["stat", "rows"] == 153
     assert not quality_geo.preload_passed(quality_geo.geo_preload(many))
 
 
