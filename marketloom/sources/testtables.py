@@ -193,7 +193,7 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lpad(CAST(1001 + event_id % 500 AS STRING), 5, '0') AS geolocation_zip_code_prefix",
             "IF(event_id % 400 = 0, 40.0D, -33.0D + (event_id % 997) * 0.0301D) AS geolocation_lat",
             "-70.0D + (event_id % 991) * 0.0411D AS geolocation_lng",
-            "event_type AS geolocation_city",
+            "concat(event_type, '-do campo ', event_type) AS geolocation_city",
             "n_name AS geolocation_state",
         )
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from marketloom.functions import labels
 from marketloom.plans.table_tests import TableTest, declared_tests
 
 STATES = tuple(f"NATION_{i}" for i in range(25))
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-TYPES = ("credit_card", "boleto", "voucher", "debit_card")
-STATUSES = ("delivered", "shipped", "canceled", "unavailable", "invoiced", "processing", "created", "approved")
+TYPES = labels.PAYMENT_TYPES
+STATUSES = labels.ORDER_STATUSES
 
 
 def _list(values) -> str:
@@ -34,21 +35,21 @@ class Suite:
             self._add(
                 "not_null", c, f"COUNT(*) FILTER (WHERE {c} IS NULL) AS h, COUNT(*) AS n FROM {self.table}",
                 f"h::DOUBLE / n <= {rate}",
-                f"printf('null_rate=%.2f%% (threshold={rate * 100:.1f}%%)', h::DOUBLE / n * 100)",
+                f"h || ' of ' || n || ' rows, at most {rate:.1%} allowed'",
             )
         return self
 
     def unique(self, c: str) -> Suite:
         return self._add(
             "unique", c, f"COALESCE(SUM(n - 1), 0) AS h FROM (SELECT COUNT(*) AS n FROM {self.table} GROUP BY {c})",
-            "h = 0", "'duplicate_count=' || CAST(h AS BIGINT)",
+            "h = 0", "CAST(h AS BIGINT) || ' rows repeat a value'",
         )
 
     def between(self, c: str, low=None, high=None) -> Suite:
         parts = [f"{c} < {low}"] * (low is not None) + [f"{c} > {high}"] * (high is not None)
         return self._add(
-            "between", c, f"COUNT(*) FILTER (WHERE {' OR '.join(parts)}) AS h FROM {self.table}", "h = 0",
-            f"'violations=' || h || ' (min={low}, max={high})'",
+            "between", c, f"COUNT(*) FILTER (WHERE {' OR '.join(parts)}) AS h, COUNT(*) AS n FROM {self.table}", "h = 0",
+            f"h || ' of ' || n || ' rows outside {'any' if low is None else low} to {'any' if high is None else high}'",
         )
 
     def in_set(self, c: str, values) -> Suite:
@@ -58,20 +59,20 @@ class Suite:
             f"""COUNT(*) AS h, (SELECT COALESCE(string_agg(v, ', ' ORDER BY v), '') FROM
                 (SELECT DISTINCT {c} AS v FROM {self.table} WHERE {bad} ORDER BY 1 LIMIT 3)) AS ex
                 FROM {self.table} WHERE {bad}""",
-            "h = 0", "'invalid_count=' || h || ', examples=[' || ex || ']'",
+            "h = 0", "h || ' rows' || CASE WHEN ex <> '' THEN ', such as ' || ex ELSE '' END",
         )
 
     def references(self, c: str, parent: str, pk: str, name: str) -> Suite:
         return self._add(
             "referential_integrity", c,
             f"COUNT(DISTINCT {c}) AS h FROM {self.table} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {pk} FROM {parent})",
-            "h = 0", f"'orphaned_keys=' || h || ' in {self.dataset}.{c} not in {name}.{pk}'",
+            "h = 0", f"h || ' keys without a row in {name}.{pk}'",
         )
 
     def rule(self, name: str, violated: str, allowed: int = 0) -> Suite:
         return self._add(
-            f"business_rule:{name}", "multiple", f"COUNT(*) FILTER (WHERE {violated}) AS h FROM {self.table}",
-            f"h <= {allowed}", f"'violations=' || h || ' (threshold={allowed})'",
+            f"business_rule:{name}", "multiple", f"COUNT(*) FILTER (WHERE {violated}) AS h, COUNT(*) AS n FROM {self.table}",
+            f"h <= {allowed}", f"h || ' of ' || n || ' rows, at most {allowed} allowed'",
         )
 
 
@@ -241,9 +242,9 @@ BODIES = {
                CAST(ROUND(COUNT(*) FILTER (WHERE passed) * 100.0 / COUNT(*), 1) AS DOUBLE) AS pass_rate FROM core_results""",
     "dq_core_failures": _union(FAILING) + """
         UNION ALL SELECT 'orders-03', 'business_rule:broken', 'orders', 'multiple', 'FAIL', FALSE, NULL,
-        'evaluation_error=UNRESOLVED_COLUMN.WITH_SUGGESTION'
+        'cannot be evaluated: UNRESOLVED_COLUMN.WITH_SUGGESTION'
         UNION ALL SELECT 'orders-04', 'business_rule:unreadable', 'orders', 'multiple', 'FAIL', FALSE, NULL,
-        'evaluation_error=CAST_INVALID_INPUT'""",
+        'cannot be evaluated: CAST_INVALID_INPUT'""",
     "dq_won_after_contact": _union([WON]),
     "dq_geo_suite": _geo_checks(),
     "dq_geo_preload": """

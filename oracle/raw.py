@@ -83,7 +83,7 @@ FRAGMENTS = {
                CASE WHEN event_id % 400 = 0 THEN 40.0::DOUBLE
                     ELSE -33.0::DOUBLE + (event_id % 997) * 0.0301::DOUBLE END AS geolocation_lat,
                -70.0::DOUBLE + (event_id % 991) * 0.0411::DOUBLE AS geolocation_lng,
-               event_type AS geolocation_city, n_name AS geolocation_state
+               event_type || '-do campo ' || event_type AS geolocation_city, n_name AS geolocation_state
         FROM events JOIN nation ON event_id % 500 % 25 = n_nationkey""",
     "state_meta": """
         SELECT n_name AS state_code, n_name AS state_name, r_name AS region,

@@ -29,3 +29,9 @@ def top(source: str, keys: str, column: str, name: str, count_nulls: bool) -> st
         SELECT {keys}, v, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY n DESC, v ASC NULLS FIRST) AS rn
         FROM (SELECT {keys}, {column} AS v, COUNT(*) AS n FROM {source} {where} GROUP BY ALL)
     ) WHERE rn = 1"""
+
+
+def titled(text: str) -> str:
+    """Every word between blanks with a capital, as far as SQL can say it."""
+    return f"""array_to_string(list_transform(string_split({text}, ' '),
+        lambda w: UPPER(LEFT(w, 1)) || LOWER(SUBSTRING(w, 2))), ' ')"""

@@ -1,4 +1,4 @@
-from oracle.sqlkit import money, r, top
+from oracle.sqlkit import money, r, titled, top
 
 _BOX = "geolocation_lat BETWEEN -35.0 AND 5.3 AND geolocation_lng BETWEEN -74.0 AND -28.0"
 ZONE = """CASE WHEN latitude < -15 AND longitude > -50 THEN 'Coastal' WHEN latitude > -5 THEN 'Amazon Basin'
@@ -76,7 +76,7 @@ FRAGMENTS = {
     "stg_geolocation": f"""
         SELECT zip_code_prefix, LPAD(CAST(zip_code_prefix AS VARCHAR), 5, '0') AS zip_code_formatted,
                {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude,
-               UPPER(LEFT(REPLACE(city, '-', ' '), 1)) || LOWER(SUBSTRING(REPLACE(city, '-', ' '), 2)) AS city,
+               {titled("REPLACE(city, '-', ' ')")} AS city,
                city AS city_normalized, z.state_code, COALESCE(state_name, 'Unknown') AS state_name,
                COALESCE(region, 'North') AS region, COALESCE(is_frontier_market, TRUE) AS high_ecomm_penetration,
                {ZONE} AS geographic_zone, raw_row_count

@@ -1,7 +1,21 @@
-from oracle.sqlkit import money, r
+from marketloom.functions import labels
+from oracle.sqlkit import money, r, titled
 from oracle.staging import ZONE
 
-_HOLIDAYS = "'01-01','04-21','05-01','09-07','10-12','11-02','11-15','12-25'"
+_HOLIDAYS = ", ".join(f"'{day}'" for day in labels.HOLIDAYS)
+
+
+def _cases(code: str, values: dict[str, object], default: str) -> str:
+    """CASE from the library's own table of labels."""
+    def literal(value: object) -> str:
+        return str(value).upper() if isinstance(value, bool) else f"'{value}'"
+
+    return f"CASE {code} " + " ".join(f"WHEN '{k}' THEN {literal(v)}" for k, v in values.items()) + f" ELSE {default} END"
+
+
+def _part(table: dict[str, tuple], place: int) -> dict[str, object]:
+    return {k: v[place] for k, v in table.items()}
+
 
 FRAGMENTS = {
     "dim_date": f"""
@@ -24,7 +38,7 @@ FRAGMENTS = {
         SELECT zip_code_prefix, LPAD(CAST(zip_code_prefix AS VARCHAR), 5, '0') AS zip_code_formatted,
                {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude,
                longitude AS point_lon, latitude AS point_lat,
-               UPPER(LEFT(REPLACE(city, '-', ' '), 1)) || LOWER(SUBSTRING(REPLACE(city, '-', ' '), 2)) AS city,
+               {titled("REPLACE(city, '-', ' ')")} AS city,
                city AS city_normalized, z.state_code, state_name, region, is_frontier_market,
                {ZONE} AS geographic_zone, raw_row_count
         FROM geo_zips_any z LEFT JOIN state_meta s ON z.state_code = s.state_code""",
@@ -39,24 +53,17 @@ FRAGMENTS = {
     "dim_product": f"""
         SELECT *, {r('product_length_cm * product_height_cm * product_width_cm / 1000000', 4)} AS volume_litres
         FROM stg_products""",
-    "dim_payment_type": """
+    "dim_payment_type": f"""
         SELECT ROW_NUMBER() OVER (ORDER BY payment_type) AS payment_type_key, payment_type AS payment_type_code,
-               CASE payment_type WHEN 'credit_card' THEN 'Credit Card' WHEN 'boleto' THEN 'Boleto Bancário'
-                    WHEN 'voucher' THEN 'Voucher' WHEN 'debit_card' THEN 'Debit Card' END AS payment_type_name,
-               CASE WHEN payment_type IN ('credit_card', 'debit_card') THEN 'Card'
-                    WHEN payment_type = 'boleto' THEN 'Bank Transfer' WHEN payment_type = 'voucher' THEN 'Voucher'
-                    ELSE 'Other' END AS payment_category,
-               payment_type IN ('credit_card', 'debit_card') AS supports_installments,
-               payment_type = 'boleto' AS is_offline_payment
+               {_cases('payment_type', _part(labels.PAYMENT_LABELS, 0), titled("REPLACE(payment_type, '_', ' ')"))} AS payment_type_name,
+               {_cases('payment_type', _part(labels.PAYMENT_LABELS, 1), "'Other'")} AS payment_category,
+               {_cases('payment_type', _part(labels.PAYMENT_LABELS, 2), 'FALSE')} AS supports_installments,
+               {_cases('payment_type', _part(labels.PAYMENT_LABELS, 3), 'FALSE')} AS is_offline_payment
         FROM (SELECT DISTINCT payment_type FROM raw_order_payments WHERE payment_type <> 'not_defined')""",
-    "dim_marketing_channel": """
+    "dim_marketing_channel": f"""
         SELECT ROW_NUMBER() OVER (ORDER BY origin) AS channel_key, origin AS channel_code,
-               CASE origin WHEN 'social' THEN 'Social Media' WHEN 'paid_search' THEN 'Paid Search'
-                    WHEN 'organic_search' THEN 'Organic Search' WHEN 'email' THEN 'Email'
-                    WHEN 'referral' THEN 'Referral' WHEN 'direct_traffic' THEN 'Direct Traffic' END AS channel_name,
-               CASE WHEN origin IN ('paid_search', 'social') THEN 'Paid'
-                    WHEN origin IN ('organic_search', 'direct_traffic') THEN 'Organic'
-                    WHEN origin = 'email' THEN 'Owned' WHEN origin = 'referral' THEN 'Earned' ELSE 'Other' END AS channel_type
+               {_cases('origin', _part(labels.CHANNEL_LABELS, 0), titled("REPLACE(origin, '_', ' ')"))} AS channel_name,
+               {_cases('origin', _part(labels.CHANNEL_LABELS, 1), "'Other'")} AS channel_type
         FROM (SELECT DISTINCT origin FROM raw_marketing_qualified_leads WHERE origin IS NOT NULL)""",
     "order_payment_summary": """
         SELECT order_id, SUM(payment_value) AS total_payment_value, MAX(payment_installments) AS max_installments,

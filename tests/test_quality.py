@@ -46,16 +46,16 @@ def test_each_expectation(spark, people):
     assert tuple(result.columns) == RESULT_COLUMNS
     got = by_rule(result)
     assert got["not_null", "k"]["rows_affected"] == 2 and not got["not_null", "k"]["passed"]
-    assert got["not_null", "k"]["detail"] == "null_rate=40.00% (threshold=0.0%)"
+    assert got["not_null", "k"]["detail"] == "2 of 5 rows, at most 0.0% allowed"
     assert got["not_null", "n"]["passed"]  # one of five, exactly the limit
     assert got["unique", "k"]["rows_affected"] == 2  # a second "a" and a second NULL
     assert got["between", "n"]["rows_affected"] == 2  # NULL is not outside
-    assert got["accepted_values", "s"]["detail"] == "invalid_count=2, examples=[w, z]"
-    assert got["referential_integrity", "k"]["detail"] == "orphaned_keys=1 in people.k not in parents.pk"
+    assert got["accepted_values", "s"]["detail"] == "2 rows, such as w, z"
+    assert got["referential_integrity", "k"]["detail"] == "1 keys without a row in parents.pk"
     assert got["business_rule:small", "multiple"]["rows_affected"] == 2  # 9, and NULL counts as a violation
     assert got["business_rule:small", "multiple"]["passed"]
     assert got["business_rule:broken", "multiple"]["status"] == "FAIL"
-    assert got["business_rule:broken", "multiple"]["detail"].startswith("evaluation_error=")
+    assert got["business_rule:broken", "multiple"]["detail"].startswith("cannot be evaluated: ")
     row = summarize(result).first()
     assert (row["total"], row["passed"], row["failed"], row["pass_rate"]) == (8, 2, 6, 25.0)
     assert not may_proceed(result)
@@ -218,3 +218,12 @@ def test_declared_test_statuses(spark, people):
     got = {(r["test"]): (r["failures"], r["status"]) for r in run_table_tests({"p": people}, tests).collect()}
     assert got == {"unique": (1, "FAIL"), "not_null": (2, "WARN"), "accepted_range": (0, "PASS"),
                    "unique_combination": (0, "PASS")}
+
+
+def test_a_rule_that_fails_on_some_row_is_one_failed_check(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "c string")
+    result = run_checks(df, "t", [NotNull("c"), Rule("readable", "CAST(c AS INT) > 0"), Rule("short", "length(c) < 3", 1)])
+    got = by_rule(result)
+    assert got["not_null", "c"]["rows_affected"] == 1
+    assert got["business_rule:readable", "multiple"]["detail"] == "cannot be evaluated: CAST_INVALID_INPUT"
+    assert got["business_rule:short", "multiple"]["passed"]
