@@ -14,7 +14,7 @@ import sys
 import time
 
 from marketloom import catalog
-from marketloom.session import local_session
+from marketloom.session import drop_scratch, local_session
 
 HEADLINE = (
     "stg_orders",
@@ -76,6 +76,7 @@ def main() -> None:
             }
         )
     )
+    drop_scratch(spark)
     spark.stop()
 
 

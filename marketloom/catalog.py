@@ -274,24 +274,28 @@ def report_enriched_orders(spark, sf):
     )
 
 
+def valued_orders(spark, sf):
+    return reports.with_values(reports.timed_orders(raw.raw_orders(spark, sf)), raw.raw_order_items(spark, sf))
+
+
 @query
 def report_monthly_trend(spark, sf):
-    return reports.monthly_trend(report_enriched_orders(spark, sf))
+    return reports.monthly_trend(valued_orders(spark, sf))
 
 
 @query
 def report_peak_month(spark, sf):
-    return reports.peak_month(report_enriched_orders(spark, sf))
+    return reports.peak_month(valued_orders(spark, sf))
 
 
 @query
 def rfm_qcut_scores(spark, sf):
-    return reports.rfm_scores(report_enriched_orders(spark, sf))
+    return reports.rfm_scores(valued_orders(spark, sf))
 
 
 @query
 def report_rfm_segments(spark, sf):
-    return reports.rfm_segments(report_enriched_orders(spark, sf))
+    return reports.rfm_segments(valued_orders(spark, sf))
 
 
 def lead_inputs(spark, sf):
@@ -317,17 +321,18 @@ def report_top_categories(spark, sf):
 
 @query
 def report_delivery_histogram(spark, sf):
-    return reports.delivery_histogram(report_enriched_orders(spark, sf))
+    return reports.delivery_histogram(reports.timed_orders(raw.raw_orders(spark, sf)))
 
 
 @query
 def report_delivery_summary(spark, sf):
-    return reports.delivery_summary(report_enriched_orders(spark, sf))
+    return reports.delivery_summary(reports.timed_orders(raw.raw_orders(spark, sf)))
 
 
 @query
 def report_late_rate_by_state(spark, sf):
-    return reports.late_rate_by_state(report_enriched_orders(spark, sf))
+    orders = reports.timed_orders(raw.raw_orders(spark, sf))
+    return reports.late_rate_by_state(reports.with_places(orders, raw.raw_customers(spark, sf)))
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators.ranking import running_totals
+from marketloom.session import settle
 
 
 def top_values(
@@ -85,17 +86,19 @@ def approx_quantile(c: Column | str, p: float, accuracy: int = 100_000) -> Colum
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram between the smallest and largest value, last bin closed.
 
-    Every bin is listed, also an empty one. The value range is one row read beforehand.
+    Every bin is listed, also an empty one. The input is read once, for counts per value; those are
+    stored, and the value range is one row of them.
     """
-    value = F.col(column).cast("double")
-    low, high = df.agg(F.min(value), F.max(value)).first()
+    value = F.col("value")
+    counts = settle(df.groupBy(F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    low, high = counts.agg(F.min(value), F.max(value)).first()
     low, high = (0.0, 0.0) if low is None else (low, high)
     width = (high - low) / bins
     place = F.floor((value - F.lit(low)) / F.lit(width)) if width else F.lit(0)
     counted = (
-        df.where(value.isNotNull())
+        counts.where(value.isNotNull())
         .groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(F.broadcast(counted), "bin", "left").select(  # at most ``bins`` rows

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_SCRATCH: dict[str, list[str]] = {}  # paths handed out, by application
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -21,7 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(CHECKPOINT_CONF, conf.pop(CHECKPOINT_CONF, None) or tempfile.mkdtemp(prefix="marketloom-"))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -54,8 +55,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path under the shared folder."""
-    return f"{shared_dir(spark)}/marketloom/{label}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path under the shared folder; ``drop_scratch`` removes them all."""
+    path = f"{shared_dir(spark)}/marketloom/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more, on whatever storage it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of this application; frames that were built on them end with it."""
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        discard(spark, path)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from marketloom.session import local_session
+from marketloom.session import drop_scratch, local_session
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,6 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = local_session("*", shuffle_partitions=8)
     yield session
+    drop_scratch(session)
     session.stop()
 
 
