@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import edge, labels, percent, rounded
 from marketloom.operators import assertions, quality, ranking, summaries
-from marketloom.plans import marts, quality_core, quality_geo, reports, staging, star
+from marketloom.plans import layouts, marts, quality_core, quality_geo, reports, staging, star
 from marketloom.plans import table_tests as tests
 from marketloom.session import scratch_path
 from marketloom.sources import files, ingest, sinks
@@ -582,6 +582,20 @@ def materialized_mart(spark, sf):
     )
 
 
+@query
+def stored_models(spark, sf):
+    """Every star table and mart stored as declared and read back: rows and months of its partitions."""
+    counts = []
+    for name, layout in layouts.LAYOUTS.items():
+        stored = layouts.store(edge(QUERIES[name](spark, sf)), name, scratch_path(spark, name))
+        month = layouts.partition_column(layout)
+        counts.append(stored.agg(
+            F.lit(name).alias("model"), F.lit(layout.kind).alias("kind"), F.count(F.lit(1)).alias("row_count"),
+            (F.countDistinct(month) if month else F.lit(0).cast("bigint")).alias("months"),
+        ))
+    return quality.union_all(counts)
+
+
 @query
 def export_orders_json(spark, sf):
     facts = edge(fact_orders(spark, sf))
@@ -642,6 +656,23 @@ def dq_core_suite(spark, sf):
     return quality_core.core_suite(raw_tables(spark, sf)).drop("category", "severity")
 
 
+def report_file(spark, results, label):
+    """Check results written as a JSON report and read back."""
+    path = scratch_path(spark, label)
+    sinks.export_json(results, path)
+    return spark.read.schema(results.schema).json(path)
+
+
+@query
+def dq_core_report(spark, sf):
+    return report_file(spark, dq_core_suite(spark, sf), "core-report")
+
+
+@query
+def dq_geo_report(spark, sf):
+    return report_file(spark, dq_geo_suite(spark, sf), "geo-report")
+
+
 @query
 def dq_core_summary(spark, sf):
     return quality.summarize(quality_core.core_suite(raw_tables(spark, sf)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketloom.functions import labels
+from marketloom.plans.layouts import LAYOUTS
 from marketloom.plans.table_tests import TableTest, declared_tests
 
 STATES = tuple(f"NATION_{i}" for i in range(25))
@@ -370,3 +371,12 @@ BODIES |= {
         SELECT DISTINCT zip_code_prefix FROM stg_customers
         WHERE zip_code_prefix NOT IN (SELECT zip_code_prefix FROM stg_geolocation)""",
 }
+
+BODIES["dq_core_report"] = BODIES["dq_core_suite"]
+BODIES["dq_geo_report"] = BODIES["dq_geo_suite"]
+BODIES["stored_models"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS model, '{layout.kind}' AS kind, COUNT(*) AS row_count, "
+    + (f"COUNT(DISTINCT date_trunc('month', {layout.date}))" if layout.date else "CAST(0 AS BIGINT)")
+    + f" AS months FROM {name}"
+    for name, layout in LAYOUTS.items()
+)
