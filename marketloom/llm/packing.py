@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.base import parts_for, stored
 
-WORD_CACHE = 400_000  # words a worker remembers before it starts anew
+WORD_CACHE = 600_000  # words, and parts of words, a worker remembers before it starts anew
 
 
 @dataclass(frozen=True)
 class Settings:
     """``tokenizer``: path of a tokenizers file on every executor, or null for the public
-    ``word_bpe_49k.json``; ``part_rows``: pieces packed in one task of the first round, four times
+    ``word_bpe_49k.json``, which is faster; ``part_rows``: pieces packed in one task of the first round, four times
     as many in each later one; ``rounds`` at most, the first included."""
 
     length: int = 2048
@@ -40,35 +40,68 @@ class Settings:
 
 
 class WordTokens:
-    """Token ids of texts, remembered per word.
+    """Token ids of texts; with the default tokenizer they are remembered per word.
 
-    The tokenizer drops white space and never joins characters across it, so the ids of a text
-    are those of its words between blanks and line ends, in order.
+    That one drops white space and never joins characters across it, so the ids of a text are
+    those of its words between blanks and line ends, in order. It also never joins letters and
+    punctuation, and it lower-cases: a word of Latin letters with marks behind it has the ids of its
+    small letters, then those of the marks. Such letters need no further preparation, so they go to a
+    copy of the tokenizer that only splits at blanks. Other words are given to it as they are.
     """
 
     def __init__(self, path: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path("word_bpe_49k.json")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        import public_tokenizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.by_word = path is None
+        path = path or public_tokenizers.path("word_bpe_49k.json")
+        self.tokenizer, self.prepared = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        if self.by_word:
+            self.prepared.normalizer = normalizers.Sequence([])
+            self.prepared.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) > WORD_CACHE:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        if new := set(words).difference(self.words):
+            if len(self.words) + len(new) > WORD_CACHE:
+                self.words.clear()
+                new = set(words)
+            self._learn(list(new))
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.stems) > WORD_CACHE:
+            self.stems.clear()
+        cut, letters, rest = [], set(), set()
+        for word in new:
+            stem = word.rstrip(".,;:!?")
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0130"):
+                stem, tail = stem.lower(), word[len(stem) :]
+                letters.add(stem)
+            else:
+                stem, tail = word, ""
+                rest.add(stem)
+            rest.add(tail)
+            cut.append((stem, tail))
+        if letters := list(letters.difference(self.stems)):
+            found = self.prepared.encode(" ".join(letters), add_special_tokens=False)
+            ids, owner = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
+            ends = (4 * np.searchsorted(owner, np.arange(len(letters)), side="right")).tolist()
+            for part, begin, end in zip(letters, [0, *ends], ends):
+                self.stems[part] = ids[begin:end]
+        if rest := list(rest.difference(self.stems)):
+            for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+                self.stems[part] = np.array(found.ids, "<u4").tobytes()
+        for word, (stem, tail) in zip(new, cut):
+            self.words[word] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
 
 
 @cache

@@ -90,6 +90,13 @@ def test_lower_bound_never_exceeds_the_optimum(lengths, capacity):
     assert all(capacity - filled[b] == room >= 0 for b, room in enumerate(left))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aZéÉÀſßµªİıΣσǅn'.,!?-1٣ \n\t\x85\u0308\u0958<|>東")))
+def test_word_by_word_ids_of_any_text(text):
+    got = packing._tokens(None).ids(text)
+    assert got == np.array(TOKENIZER.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("text", ["It's  a​test don't", "ÀÉ ß ǅ İstanbul ΣΑΣ", "a" * 500 + " 123 4.5", "\x1c\x1d a\x85b"])
 def test_word_by_word_ids(text):
     got = packing.WordTokens(None).ids(text)
