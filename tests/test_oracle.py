@@ -1,4 +1,4 @@
-"""Every registered query against its reference SQL on the small test tables."""
+"""Every query of the catalog against its reference SQL on the small test tables."""
 
 from __future__ import annotations
 
@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entrypoint
+from marketloom.catalog import QUERIES
+from oracle.statements import STATEMENTS as ORACLE
 from scripts.check import TABLES, _rows
 
-ORACLE = entrypoint.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -21,7 +21,9 @@ def duck(sf_dir):
 
 
 def test_every_query_has_reference_sql():
-    assert set(entrypoint.queries()) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entrypoint.queries().items()
+    assert ORACLE.items() <= entrypoint.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -29,9 +31,9 @@ def test_entry(spark):
     assert frame.count() > 0 and "total_revenue" in frame.columns
 
 
-@pytest.mark.parametrize("name", list(entrypoint.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, sf_dir, name):
-    frame = entrypoint.queries()[name](spark, sf_dir)
+    frame = QUERIES[name](spark, sf_dir)
     got = frame.collect()
     result = duck.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
