@@ -8,8 +8,8 @@ all filters a vector passes are listed from two short sorted lists, without tryi
 Vectors of one label that share a filter are candidates; 64 signs of random projections rule
 most of them out, the rest is verified by cosine in double precision.
 
-With the default code a pair at cosine 0.93 in 64 dimensions shares no filter with a probability of about
-0.002 (measured on random pairs), closer pairs less.
+The height follows from the width, so that a vector of any width passes about as many filters;
+narrow vectors have fewer and wider caps. A vector that passes few filters has its best ones.
 """
 
 from __future__ import annotations
@@ -31,17 +31,24 @@ from marketloom.llm.base import stored
 @dataclass(frozen=True)
 class Settings:
     """``words``: codewords of a half; ``apart``: signs in which a candidate pair may differ (at
-    cosine 0.93 one pair in 100,000 differs in more); ``small`` and ``block`` as in the pairing."""
+    cosine 0.93 one pair in 100,000 differs in more); ``small`` and ``block`` as in the pairing.
+    ``height`` and ``words`` hold as they are if a height is given; else the height follows from
+    the width, and narrow vectors have fewer words. A vector has at least its ``least`` best filters."""
 
     threshold: float = 0.93
     words: int = 1024
-    height: float = 0.44
+    height: float | None = None
+    least: int = 64
     apart: int = 20
     small: int = 16
     block: int = 1024
     seed: int = 19
 
 
+KNOWN = (64, 0.44)  # a width and its height; other widths have the same share of directions in a cap
+HIGHEST = 0.6  # narrower caps hold too little of the directions that a pair at the threshold shares
+
+
 @dataclass(frozen=True)
 class Code:
     """Random rotation, the halves' codebooks and the sign directions for vectors of one width."""
@@ -49,6 +56,30 @@ class Code:
     rotation: np.ndarray
     books: tuple[np.ndarray, np.ndarray]
     signs: np.ndarray
+    height: float
+
+
+def _caps(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Falling heights and the share of all directions in a cap of each."""
+    angles = np.linspace(0, np.pi, 100_001)
+    shares = np.cumsum(np.sin(angles) ** (width - 2)) if width > 2 else np.arange(1.0, len(angles) + 1)
+    return np.cos(angles), shares / shares[-1]
+
+
+def fitted(width: int, s: Settings) -> tuple[float, int]:
+    """Height and number of words for vectors of one width."""
+    if s.height is not None:
+        return s.height, s.words
+    heights, shares = _caps(KNOWN[0])
+    share = shares[np.searchsorted(-heights, -KNOWN[1])]
+    heights, shares = _caps(max(2, width))
+    if width == KNOWN[0]:
+        return KNOWN[1], s.words
+    height = float(heights[np.searchsorted(shares, share)])
+    if height <= HIGHEST:
+        return height, s.words
+    held = shares[np.searchsorted(-heights, -HIGHEST)]
+    return HIGHEST, int(np.ceil(s.words * np.sqrt(share / held)))
 
 
 @lru_cache(maxsize=8)
@@ -56,24 +87,30 @@ def code(width: int, s: Settings) -> Code:
     rng = np.random.default_rng([s.seed, width])
     size = max(2, width)
     rotation = np.linalg.qr(rng.normal(size=(size, size)))[0][:width]
+    height, words = fitted(width, s)
     books = []
     for part in (size // 2, size - size // 2):
-        book = rng.normal(size=(s.words, part))
+        book = rng.normal(size=(words, part)) if part > 1 else np.array([[1.0], [-1.0]])
         books.append(book / np.linalg.norm(book, axis=1, keepdims=True))
-    return Code(rotation, (books[0], books[1]), rng.normal(size=(width, 64)))
+    return Code(rotation, (books[0], books[1]), rng.normal(size=(width, 64)), height)
 
 
 def filters(units: np.ndarray, s: Settings) -> list[np.ndarray]:
-    """Numbers of all filters that each unit vector passes."""
+    """Numbers of all filters that each unit vector passes, or of its best ones where those are few."""
     c = code(units.shape[1], s)
     turned = units @ c.rotation
     cut = c.books[0].shape[1]
     left, right = turned[:, :cut] @ c.books[0].T, turned[:, cut:] @ c.books[1].T
-    need = s.height * np.sqrt(2)  # both codewords have length 1, so their pair has length sqrt(2)
+    need = c.height * np.sqrt(2)  # both codewords have length 1, so their pair has length sqrt(2)
     out = []
     for x, y in zip(left, right):
         i, j = np.flatnonzero(x >= need - y.max()), np.flatnonzero(y >= need - x.max())
         a, b = np.nonzero(x[i][:, None] + y[j] >= need)
+        if len(a) < s.least:
+            # the best sums are made of the best words of both halves
+            i, j = np.argsort(-x)[: s.least], np.argsort(-y)[: s.least]
+            sums = x[i][:, None] + y[j]
+            a, b = np.unravel_index(np.argsort(-sums, axis=None)[: s.least], sums.shape)
         out.append(i[a] * np.int64(s.words) + j[b])
     return out
 

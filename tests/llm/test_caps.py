@@ -83,3 +83,29 @@ def test_listed_filters_are_all_that_pass():
 
 def test_empty(spark):
     assert caps.link_near(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("width", [2, 3, 8, 32, 64, 96, 128, 256, 768])
+def test_near_pairs_of_any_width_share_a_filter(width):
+    rng = np.random.default_rng(9)
+    s = caps.Settings()
+    x = rng.normal(size=(1000, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    found = caps.filters(x, s)
+    assert min(len(f) for f in found) >= min(s.least, 4 if width == 2 else 52 if width == 3 else s.least)
+    assert np.mean([len(f) for f in found]) < 200
+    for cosine, most in ((0.93, 2), (0.99, 0)):
+        y = cosine * x + np.sqrt(1 - cosine**2) * z
+        assert sum(len(np.intersect1d(a, b)) == 0 for a, b in zip(found, caps.filters(y, s))) <= most
+
+
+def test_wide_vectors_against_brute_force(spark):
+    rng = np.random.default_rng(10)
+    bases = rng.normal(size=(20, 256))
+    rows = [(i, (bases[i % 20] + rng.normal(size=256) * 0.1).tolist(), 0) for i in range(60)]
+    frame = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    found = caps.link_near(frame).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=str) == brute(rows)
