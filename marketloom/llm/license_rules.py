@@ -176,6 +176,19 @@ _NOTICE = (
 )
 
 
+# an SPDX expression up to one of its later licences; an unknown licence has up to four words
+_KNOWN = "|".join([*(tag for tag, _ in sorted(TAGS, reverse=True)), *(rf"cc {short} [1-4] [05]" for _, short, _ in _CC)])
+_WORD = r"(?!(?:or|and|with|later) )[a-z0-9]+"
+_OPERAND = rf"(?:(?:{_KNOWN})|(?!(?:{_KNOWN}) ){_WORD}(?: {_WORD}){{0,3}})(?: with {_WORD}(?: {_WORD}){{0,5}})?"
+_EXPRESSION = rf"spdx license identifier (?:{_OPERAND} (?:or|and) ){{1,30}}?"
+
+
+def _whole(tag: str) -> str:
+    """The tag where no longer one begins."""
+    short = tag.split("(")[0]
+    return tag + "".join(f"(?!{longer.removeprefix(short)} )" for longer, _ in TAGS if longer.startswith(f"{short} "))
+
+
 def _rule(label: str, words: str, pattern: str, priority: int, confidence: float) -> Rule:
     compiled = re.compile(rf" (?:{pattern})(?= )".encode())
     return Rule(label, frozenset(w.encode() for w in words.split()), compiled, priority, confidence)
@@ -206,7 +219,9 @@ def rules() -> list[Rule]:
     out.append(_rule("creative-commons", "creative commons", rf"creative commons(?: {_L})?", 20, 0.4))
     for tag, label in TAGS:
         out.append(_rule(label, "spdx", rf"spdx license identifier {tag}", 100, 1.0))
-        out.append(_rule(label, "spdx", rf"spdx license identifier [a-z0-9 ]{{1,60}}? (?:or|and) {tag}", 90, 1.0))
+        out.append(_rule(label, "spdx", rf"spdx license identifier [a-z0-9 ]{{1,60}}? (?:or|and) {_whole(tag)}", 90, 1.0))
+        # of a later licence only its own words count, since the ones before it are detections of their own
+        out.append(_rule(label, "spdx", rf"{_EXPRESSION}(?P<own>{_whole(tag)})", 95, 1.0))
         out.append(_rule(label, "license", rf"(?:project|package|module|crate|software) license {tag}", 65, 0.85))
     out += [_rule(label, phrase, phrase, 40, 0.9) for phrase, label in BASE]
     return sorted(out, key=lambda r: (-r.priority, r.label, r.pattern.pattern))

@@ -2,7 +2,7 @@
 
 1. Prefilter: only rules whose words all occur in the text are tried, found by the rarest of
    those words.
-2. Each tried rule gives detections, intervals of words.
+2. Each tried rule gives detections, intervals of words; a rule with a group ``own`` those of the group.
 3. Detections are taken by priority, then length, then place. One that lies inside a detection
    already taken, or contains one of higher priority, is suppressed; so are overlapping ones of lower
    priority by containment only, partial overlaps stay side by side.
@@ -85,6 +85,8 @@ def scan(text: str | None) -> dict:
                     first = line.count(b" ", 0, m.start())
                     if first < own_words:
                         end = first + m.group().count(b" ")
+                        if "own" in rule.pattern.groupindex:
+                            first = end - m["own"].count(b" ") - 1
                         detections.append((-rule.priority, n_words + first, n_words + end, rule.label, rule.confidence))
         n_words += own_words
     kept = resolve(detections)

@@ -68,6 +68,24 @@ def test_labels():
     assert labels("a licence to write clean prose, permitted by nobody") == ""
 
 
+def test_every_licence_of_an_spdx_expression():
+    def labels(text):
+        return licenses.scan(f"SPDX-License-Identifier: {text}")["labels"]
+
+    assert labels("Apache-2.0 OR MIT") == "apache-2,mit"
+    assert labels("MIT OR Apache-2.0 OR Zlib") == "apache-2,mit,zlib"
+    for tag in ("ISC", "Zlib", "PostgreSQL", "NCSA", "OpenSSL"):
+        assert labels(f"MIT OR {tag}") == ",".join(sorted(["mit", tag.lower()]))
+    assert labels("(GPL-2.0-only WITH Classpath-exception-2.0) OR MIT") == "gpl-2,mit"
+    assert labels("GPL-2.0-or-later OR MIT") == "gpl-2-or-later,mit"
+    assert labels("CC-BY-4.0 OR MIT") == "cc-by,mit"
+    assert labels("Foo-1.0 OR MIT AND Zlib") == "mit,zlib"
+    assert labels("Foo-1.0 OR GPL-3.0-or-later") == "gpl-3-or-later"
+    assert labels("ISC OR MIT-0 OR MIT") == "isc,mit,mit-0"
+    assert labels("MIT OR GPL-2.0-or-later OR ISC") == "gpl-2-or-later,isc,mit"
+    assert labels("MIT\n// Uses curl and openssl") == "mit"
+
+
 def test_containment():
     kept = licenses.resolve([(-80, 0, 9, "a", 1.0), (-60, 2, 5, "b", 1.0), (-50, 0, 12, "c", 1.0), (-50, 7, 11, "d", 1.0), (-80, 0, 9, "a", 1.0)])
     assert [d[3] for d in kept] == ["a", "d"]
