@@ -21,31 +21,39 @@ from marketloom.llm.queries import QUERIES as OPERATOR_QUERIES
 MIXING = mixing.Settings(budget_share=0.9, max_epochs=1)
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not rejected; rows without an id cannot be named and stay."""
-    return docs.join(rejected.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, or a longer one where the table has such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.score_documents(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.where("predicted = 0"))
+    predicted = _free(docs, "_predicted")
+    return quality.predict(docs, table(spark, sf_dir, "labels"), predicted).where(F.col(predicted) != 0).select(docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.where("predicted = 1"))
+    predicted = _free(docs, "_predicted")
+    return toxicity.predict(docs, table(spark, sf_dir, "labels"), predicted).where(F.col(predicted) != 1).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    joined = stored(jaccard.join_similar(docs), "pipeline-groups")
-    left = _without(docs, joined.where("NOT kept"))
-    # of rows that repeat a whole document, id included, one stays
-    repeated = joined.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    """Of each group the row of the smallest doc_id, rows without one last; rows are told apart by a stored number."""
+    row = _free(docs, "_row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
+    named = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    joined = stored(jaccard.join_similar(numbered.select(named.alias("doc_id"), "text")), "pipeline-groups")
+    kept = F.col("doc_id.row") == F.col("class_id.row")
+    left = numbered.join(joined.where(~kept).select(F.col("doc_id.row").alias(row)), row, "left_anti")
+    # rows without words are in no group; of those that repeat id and text one stays
+    ids = joined.where(kept & ~F.col("doc_id.missing")).select(F.col("doc_id.id").alias("doc_id"))
+    repeated = ids.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
-        return left
+        return left.select(docs.columns)
     again = F.broadcast(repeated.select("doc_id")) if repeated.count() <= 100_000 else repeated.select("doc_id")
     return left.join(again, "doc_id", "left_anti").select(docs.columns).union(
-        left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+        left.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
     )
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import grams
 from marketloom.llm.base import Bags, Slice, labelled_sample, slices
-from marketloom.llm.scoring import SLICE_CHARS, held_out, scored
+from marketloom.llm.scoring import SLICE_CHARS, held_out, scored, with_prediction
 
 HOLDOUT_MOD, HOLDOUT_REST = 5, 0
 
@@ -107,6 +107,17 @@ def probabilities(parts: Iterator[Slice], n: int, table: np.ndarray, bias: float
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -500, 500)))
 
 
+def _scorer(docs: DataFrame, labels: DataFrame, s: Settings):
+    sample = labelled_sample(docs, labels, "quality", HOLDOUT_MOD, HOLDOUT_REST, s.rows, s.max_chars)
+    shared = docs.sparkSession.sparkContext.broadcast(train(sample, s))
+    return lambda parts, n: probabilities(parts, n, *shared.value, s)
+
+
+def predict(docs: DataFrame, labels: DataFrame, name: str, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, each with its own prediction as column ``name``."""
+    return with_prediction(docs, name, settings.threshold, _scorer(docs, labels, settings))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs`` (doc_id, text).
 
@@ -114,10 +125,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Set
     every whole text. A null or empty text gets the score of the bias, a null id is not held
     out; repeated rows are scored one by one, an empty table gives an empty result.
     """
-    sample = labelled_sample(docs, labels, "quality", HOLDOUT_MOD, HOLDOUT_REST, settings.rows, settings.max_chars)
-    table, bias = train(sample, settings)
-    shared = docs.sparkSession.sparkContext.broadcast((table, bias))
-    return scored(docs, "doc_id", lambda parts, n: probabilities(parts, n, *shared.value, settings)).select(
+    return scored(docs, "doc_id", _scorer(docs, labels, settings)).select(
         "doc_id",
         held_out("doc_id", HOLDOUT_MOD, HOLDOUT_REST).alias("held_out"),
         "score",

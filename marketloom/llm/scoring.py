@@ -29,6 +29,19 @@ def scored(docs: DataFrame, id_column: str, score: Callable[[Iterator[Slice], in
     return docs.select(id_column, "text").mapInArrow(run, schema)
 
 
+def with_prediction(docs: DataFrame, name: str, threshold: float, score: Callable[[Iterator[Slice], int], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` with ``name``, 1 where their own score reaches the threshold, else 0."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = score(slices(batch.column(at).to_pylist(), SLICE_CHARS), batch.num_rows)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values >= threshold, pa.bool_()).cast(pa.int32())], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.IntegerType())]))
+
+
 def held_out(id_column: str, mod: int, rest: int):
     """Whether crc32 of the id as text leaves ``rest``; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % mod == rest, F.lit(False))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline as pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,29 @@ def test_edges(spark):
     empty = docs.limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).collect() == []
+
+
+def test_rows_are_decided_one_by_one(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    one, two, three = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "red green blue black white grey")
+    rows = [(2, one), (2, two), (1, one), (7, two), (None, one), (None, three), (None, three), (5, None), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    left = sorted(((r["doc_id"], r["text"]) for r in pipeline.one_of_each_group(spark, docs, SF_DIR).collect()), key=str)
+    assert left == sorted([(1, one), (2, two), (None, three), (5, None), (5, "")], key=str)
+
+
+@pytest.mark.parametrize("module,stage,worst", [(quality, pipeline.keep_quality, 0.0), (toxicity, pipeline.drop_toxic, 1.0)])
+def test_every_row_goes_by_its_own_score(spark, monkeypatch, module, stage, worst):
+    def score(parts, n):
+        bad = [False] * n
+        for part in parts:
+            for owner, text in zip(part.owners, part.texts):
+                bad[owner] |= "bad" in text
+        return np.where(bad, worst, 1 - worst)
+
+    monkeypatch.setattr(module, "_scorer", lambda docs, labels, settings: score)
+    rows = [(1, "good"), (1, "bad"), (None, "bad"), (None, "good"), (2, "bad"), (3, "good"), (3, "good")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _predicted string")
+    left = stage(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted((r for r in rows if r[1] == "good"), key=str)
