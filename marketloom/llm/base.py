@@ -8,6 +8,8 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,21 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_runs(batch: pa.RecordBatch, column: int, limit: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of a batch in runs of about ``limit`` bytes, each with its first row.
+
+    A batch can hold tens of megabytes; only one run of it at a time becomes Python strings.
+    """
+    texts = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield begin, texts.slice(begin, end - begin).to_pylist()
+        begin = end
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """Number of parts of about ``per_part`` rows; grows with the rows."""
     return max(1, -(-rows // per_part))

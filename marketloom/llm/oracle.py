@@ -1,7 +1,8 @@
 """DuckDB SQL for the operators that SQL can express.
 
 Sharding needs a CRC-32, mixing a seeded hash, packing a tokenizer, the licence scan hundreds of
-patterns and the classifiers training: these have none and are tested against brute force.
+patterns, the classifiers training, the language model nested discounts over counts of counts and
+whitening eigenvectors: these have none and are tested against brute force.
 """
 
 from __future__ import annotations
@@ -88,9 +89,41 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+_TERMS = """regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+LEXICAL = f"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS doc, {_TERMS} AS terms FROM documents
+), sizes AS (
+  SELECT doc, doc_id, len(terms)::BIGINT AS n FROM split WHERE len(terms) > 0
+), whole AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes
+), postings AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM split) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), whole
+), asked AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), scored AS (
+  SELECT item_id, doc, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (doc), whole
+  GROUP BY item_id, doc
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scored JOIN sizes USING (doc) WHERE score > 0
+)
+WHERE rank <= 50
+"""
+
 SQL = {
     "op1_exact_topk": TOPK,
     "op5_ngram_jaccard_join": JACCARD,
     "op9_spherical_caps": CAPS,
     "op10_warc_dictionary": WARC,
+    "op12_length_strata": LEXICAL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import caps, jaccard, licenses, mixing, packing, quality, sharding, topk, toxicity, warc
+from marketloom.llm import caps, jaccard, kneser, lexical, licenses, mixing, packing, quality, sharding, topk, toxicity, warc, whitening
 from marketloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,18 @@ def op9_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_length_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
