@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -30,12 +31,11 @@ def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_runs(batch: pa.RecordBatch, column: int, limit: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
-    """The texts of a batch in runs of about ``limit`` bytes, each with its first row.
+def text_runs(texts: pa.Array, limit: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of a batch's column in runs of about ``limit`` bytes, each with its first row.
 
     A batch can hold tens of megabytes; only one run of it at a time becomes Python strings.
     """
-    texts = batch.column(column)
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     begin = 0
     while begin < len(texts):
@@ -45,6 +45,14 @@ def text_runs(batch: pa.RecordBatch, column: int, limit: int = 4_000_000) -> Ite
         begin = end
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, also those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """Number of parts of about ``per_part`` rows; grows with the rows."""
     return max(1, -(-rows // per_part))

@@ -17,16 +17,20 @@ _PRIME = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _MULTIPLIERS = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x9E3779B1], dtype=_U32)
 
 
-@cache
+_KNOWN_POWERS: list[np.ndarray] = []  # of the largest size asked for so far
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the prime and of its inverse modulo 2**64."""
-    with np.errstate(over="ignore"):
-        out = []
-        for base in (_PRIME, pow(_PRIME, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=_U64)
-            steps[0] = 1
-            out.append(np.multiply.accumulate(steps))
-    return out[0], out[1]
+    """At least ``size`` powers of the prime and of its inverse modulo 2**64."""
+    if not _KNOWN_POWERS or len(_KNOWN_POWERS[0]) < size:
+        found = []
+        with np.errstate(over="ignore"):
+            for base in (_PRIME, pow(_PRIME, -1, 1 << 64)):
+                steps = np.full(size, base, dtype=_U64)
+                steps[0] = 1
+                found.append(np.multiply.accumulate(steps))
+        _KNOWN_POWERS[:] = found
+    return _KNOWN_POWERS[0], _KNOWN_POWERS[1]
 
 
 @cache

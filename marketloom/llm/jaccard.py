@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm import grams, pairing
-from marketloom.llm.base import slices, stored
+from marketloom.llm.base import give_back, slices, stored, text_runs
 
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
 
 @dataclass(frozen=True)
@@ -117,14 +117,15 @@ def signature(shingles: np.ndarray, s: Settings) -> bytes:
 def _signatures(s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            prints, sets = shingle_sets(texts, len(texts), s.words)
-            known: dict[bytes, bytes] = {}
-            for p, x in zip(prints, sets):
-                if p is not None and p not in known:
-                    known[p] = signature(x, s)
-            columns = [batch.column(0), pa.array(prints, pa.binary()), pa.array([known.get(p) for p in prints], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "sig"])
+            for begin, texts in text_runs(batch.column(1)):
+                prints, sets = shingle_sets(texts, len(texts), s.words)
+                known: dict[bytes, bytes] = {}
+                for p, x in zip(prints, sets):
+                    if p is not None and p not in known:
+                        known[p] = signature(x, s)
+                columns = [batch.column(0).slice(begin, len(texts)), pa.array(prints, pa.binary()), pa.array([known.get(p) for p in prints], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "sig"])
+        give_back()
 
     return run
 
@@ -132,10 +133,11 @@ def _signatures(s: Settings):
 def _bodies(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            prints, sets = shingle_sets(texts, len(texts), words)
-            columns = [pa.array(prints, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+            for _, texts in text_runs(batch.column(0)):
+                prints, sets = shingle_sets(texts, len(texts), words)
+                columns = [pa.array(prints, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+        give_back()
 
     return run
 

@@ -255,7 +255,7 @@ def _word_counts(bits: int, s: Settings):
             return _messages(_range_of(keys, bits), keys, counts, 1 << bits)
 
         for batch in batches:
-            for _, texts in text_runs(batch, 0):
+            for _, texts in text_runs(batch.column(0)):
                 for hashes, _, fresh, _ in streams(texts, s.slice_chars):
                     held += [hashes, np.full(len(fresh), START)]
                     size += len(hashes)
@@ -323,7 +323,7 @@ def _pair_counts(words: Words, bounds: np.ndarray, s: Settings):
             return _messages(np.searchsorted(bounds, keys, side="right") - 1, keys, counts, len(bounds))
 
         for batch in batches:
-            for _, texts in text_runs(batch, 0):
+            for _, texts in text_runs(batch.column(0)):
                 last = -1
                 for hashes, _, fresh, _ in streams(texts, s.slice_chars):
                     distinct, inverse = np.unique(hashes, return_inverse=True)
@@ -541,7 +541,7 @@ def _scored(model: Model, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
         for batch in batches:
-            for begin, texts in text_runs(batch, 1):
+            for begin, texts in text_runs(batch.column(1)):
                 columns = [batch.column(0).slice(begin, len(texts)), *map(pa.array, scorer.score(texts, limit))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 

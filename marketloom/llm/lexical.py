@@ -71,7 +71,7 @@ def impact(tf: np.ndarray, m: int) -> np.ndarray:
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for begin, texts in text_runs(batch, 1):
+        for begin, texts in text_runs(batch.column(1)):
             found = [list(terms_of(text)) for text in texts]
             rows = pa.array(np.repeat(np.arange(len(texts)) + begin, [len(f) for f in found]), pa.int64())
             listed = [t for f in found for t in f]
@@ -85,7 +85,7 @@ def _counted(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = None if known is None else known.value
         for batch in batches:
-            for begin, texts in text_runs(batch, 1):
+            for begin, texts in text_runs(batch.column(1)):
                 sizes, keys, counts = [], [], []
                 for text in texts:
                     found = terms_of(text)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.base import parts_for, stored
+from marketloom.llm.base import give_back, parts_for, stored, text_runs
 
 WORD_CACHE = 600_000  # words, and parts of words, a worker remembers before it starts anew
 
@@ -113,17 +113,19 @@ def _pieces(s: Settings, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, width, end = _tokens(s.tokenizer), 4 * s.length, np.array([s.end_id], "<u4").tobytes()
         for batch in batches:
-            rows, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = encoder.ids(text or "") + end
-                for piece, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    rows.append(row)
-                    for column, value in zip(out.values(), (piece, at // 4, len(part) // 4, zlib.crc32(part))):
-                        column.append(value)
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            arrays = [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(v, k) for v, k in zip(out.values(), kinds))]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            for begin, texts in text_runs(batch.column(1)):
+                rows, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
+                for row, text in enumerate(texts, begin):
+                    ids = encoder.ids(text or "") + end
+                    for piece, at in enumerate(range(0, len(ids), width)):
+                        part = ids[at : at + width]
+                        rows.append(row)
+                        for column, value in zip(out.values(), (piece, at // 4, len(part) // 4, zlib.crc32(part))):
+                            column.append(value)
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                arrays = [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(v, k) for v, k in zip(out.values(), kinds))]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+        give_back()
 
     return run
 

@@ -1,4 +1,7 @@
-"""Applying a small broadcast model to every whole text, shared by the two classifiers."""
+"""Applying a small broadcast model to every whole text, shared by the two classifiers.
+
+Only the texts go to Python and only one number per row comes back; all other columns stay in the JVM.
+"""
 
 from __future__ import annotations
 
@@ -6,40 +9,38 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.llm.base import Slice, slices
+from marketloom.llm.base import Slice, give_back, slices, text_runs
 
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
+Score = Callable[[Iterator[Slice], int], np.ndarray]
 
-def scored(docs: DataFrame, id_column: str, score: Callable[[Iterator[Slice], int], np.ndarray]) -> DataFrame:
-    """Column ``id_column`` and ``score`` for every row; ``score`` maps the slices of n texts to n numbers."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                texts = batch.column(1).to_pylist()
-                values = score(slices(texts, SLICE_CHARS), len(texts))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], [id_column, "score"])
+def score_of(text: str, score: Score) -> Column:
+    """A number for every row's text; ``score`` maps the slices of n texts to n numbers."""
 
-    schema = T.StructType([docs.schema[id_column], T.StructField("score", T.DoubleType())])
-    return docs.select(id_column, "text").mapInArrow(run, schema)
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            found = [score(slices(texts, SLICE_CHARS), len(texts)) for _, texts in text_runs(column)]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
+        give_back()
 
+    # named nondeterministic so that a score that is filtered by and returned is computed once
+    return F.arrow_udf(run, T.DoubleType()).asNondeterministic()(F.col(text))
 
-def with_prediction(docs: DataFrame, name: str, threshold: float, score: Callable[[Iterator[Slice], int], np.ndarray]) -> DataFrame:
-    """The rows of ``docs`` with ``name``, 1 where their own score reaches the threshold, else 0."""
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                values = score(slices(batch.column(at).to_pylist(), SLICE_CHARS), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values >= threshold, pa.bool_()).cast(pa.int32())], [*batch.schema.names, name])
+def scored(docs: DataFrame, id_column: str, score: Score) -> DataFrame:
+    """Column ``id_column`` and ``score`` for every row."""
+    return docs.select(id_column, score_of("text", score).alias("score"))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.IntegerType())]))
+
+def with_prediction(docs: DataFrame, name: str, threshold: float, score: Score) -> DataFrame:
+    """The rows of ``docs`` with ``name``, 1 where their own score reaches the threshold, else 0."""
+    return docs.withColumn(name, (score_of("text", score) >= threshold).cast("int"))
 
 
 def held_out(id_column: str, mod: int, rest: int):
