@@ -8,12 +8,16 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions import as_timestamp
+from marketloom.sources import ranges
 from marketloom.sources.registry import DATASETS, DATE_COLUMNS, GEOLOCATION_SCHEMA
 
 log = logging.getLogger(__name__)
 
+MALFORMED = "_malformed"
+
 
 def dataset_path(data_dir: str, name: str, prefix: str = "") -> str:
     return f"{data_dir.rstrip('/')}/{prefix}{DATASETS[name].file}"
@@ -21,12 +25,24 @@ def dataset_path(data_dir: str, name: str, prefix: str = "") -> str:
 
 def read_raw(spark: SparkSession, data_dir: str, name: str, prefix: str = "") -> DataFrame:
     """A registered dataset as text columns named by the file's header."""
-    return (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", DATASETS[name].multi_line)
-        .csv(dataset_path(data_dir, name, prefix))
-    )
+    path = dataset_path(data_dir, name, prefix)
+    if DATASETS[name].multi_line:
+        return ranges.read_quoted(spark, path).drop("_source_file")
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+def read_landing(spark: SparkSession, data_dir: str, name: str, prefix: str = "") -> DataFrame:
+    """A registered dataset as it lands: text columns, load time and file name of each row, and ``_malformed``,
+    the line as it stands where it has too few or too many fields.
+
+    Only the header is read here, for the columns' names. Files with quoted line breaks are read by byte ranges.
+    """
+    path = dataset_path(data_dir, name, prefix)
+    if DATASETS[name].multi_line:
+        return ranges.read_quoted(spark, path, malformed=MALFORMED).select("*", F.current_timestamp().alias("_ingested_at"))
+    reader = spark.read.option("header", True).option("escape", '"')
+    fields = T.StructType([*reader.csv(path).schema, T.StructField(MALFORMED, T.StringType())])
+    return with_audit(reader.schema(fields).option("columnNameOfCorruptRecord", MALFORMED).csv(path))
 
 
 def with_audit(df: DataFrame) -> DataFrame:

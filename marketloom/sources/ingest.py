@@ -8,13 +8,14 @@ import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.operators.summaries import duplicate_rows
-from marketloom.sources.files import dataset_path, read_raw, to_raw_strings, with_audit
+from marketloom.sources import publish, ranges
+from marketloom.sources.files import MALFORMED, dataset_path, read_landing, to_raw_strings
 from marketloom.sources.registry import DATASETS, Dataset
-from marketloom.sources.sinks import append_new, export_json, full_refresh, stored
+from marketloom.sources.sinks import append_new, export_json, stored
 
 MAX_NULL_RATE = 0.05
 AUDIT_COLUMNS = ("_ingested_at", "_source_file")
@@ -25,18 +26,31 @@ class SchemaError(Exception):
     """A dataset that must not be loaded: required columns missing, or no rows."""
 
 
-def validate_schema(df: DataFrame, dataset: Dataset) -> tuple[int, list[str]]:
-    """Row count and warnings (duplicate keys, too many NULLs); raises SchemaError when fatal."""
+def _has_required(df: DataFrame, dataset: Dataset) -> None:
     missing = [c for c in dataset.required if c not in df.columns]
     if missing:
         raise SchemaError(f"[{dataset.name}] required but absent: {', '.join(missing)}")
-    facts = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in dataset.required]
-    ).first()
+
+
+def _facts(dataset: Dataset) -> list[Column]:
+    """Numbers of rows and of missing values, by the names of the required columns."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in dataset.required]]
+
+
+def validate_schema(df: DataFrame, dataset: Dataset) -> tuple[int, list[str]]:
+    """Row count and warnings (duplicate keys, too many NULLs); raises SchemaError when fatal."""
+    _has_required(df, dataset)
+    return _judged(df.agg(*_facts(dataset)).first().asDict(), df, dataset)
+
+
+def _judged(facts: dict, df: DataFrame, dataset: Dataset) -> tuple[int, list[str]]:
+    """Row count and warnings from the facts of ``df``, of which only the key is read."""
     rows = facts["rows"]
     if rows == 0:
         raise SchemaError(f"[{dataset.name}] has no rows")
     warnings = []
+    if facts.get(MALFORMED):
+        warnings.append(f"[{dataset.name}] {facts[MALFORMED]} lines have too few or too many fields")
     if dataset.primary_key and dataset.primary_key in df.columns:
         duplicates = duplicate_rows(df, [dataset.primary_key]).first()[0]
         if duplicates:
@@ -57,18 +71,31 @@ def load_dataset(
     dry_run: bool = False,
     prefix: str = "",
 ) -> tuple[int, str, list[str]]:
-    """Validate and land one dataset; returns rows, status and warnings."""
-    raw = read_raw(spark, data_dir, dataset.name, prefix)
-    rows, warnings = validate_schema(raw, dataset)
+    """Validate and land one dataset; returns rows, status and warnings.
+
+    The files are parsed once: rows, missing values and malformed lines are counted while the table is
+    staged, and its key is checked there. Then it takes the place of the old table, which a failing dataset
+    leaves as it was.
+    """
+    raw = read_landing(spark, data_dir, dataset.name, prefix)
+    _has_required(raw, dataset)
+    counts = [*_facts(dataset), F.count(MALFORMED).alias(MALFORMED)]
     if dry_run:
+        rows, warnings = _judged(raw.agg(*counts).first().asDict(), raw, dataset)
         return rows, "dry_run", warnings
-    landed = to_raw_strings(with_audit(raw))
-    path = f"{target_dir.rstrip('/')}/{dataset.table}"
-    if incremental and dataset.incremental_column:
-        count = append_new(landed, path, dataset.primary_key, AUDIT_COLUMNS, dataset.incremental_column)
-        return count, "appended", warnings
-    full_refresh(landed, path)
-    return spark.read.parquet(path).count(), "success", warnings
+    root = target_dir.rstrip("/")
+    path = f"{root}/{dataset.table}"
+    release, parsed = publish.Release(spark, root), Observation()
+    try:
+        staged = release.stage(to_raw_strings(raw).observe(parsed, *counts).drop(MALFORMED), path)
+        rows, warnings = _judged(parsed.get, staged, dataset)
+        if incremental and dataset.incremental_column:
+            rows = append_new(staged, path, dataset.primary_key, AUDIT_COLUMNS, dataset.incremental_column)
+            return rows, "appended", warnings
+        release.publish()
+        return rows, "success", warnings
+    finally:
+        release.abandon()
 
 
 def ingest(
@@ -128,17 +155,19 @@ def read_record(spark: SparkSession, path: str) -> dict | None:
 # --- content gate -------------------------------------------------------------------------
 
 
-def content_fingerprint(spark: SparkSession, path: str, by_content: bool = True) -> str:
+def content_fingerprint(spark: SparkSession, path: str, by_content: bool = True, range_bytes: int = ranges.RANGE_BYTES) -> str:
     """SHA-256 based fingerprint of one file or of many part files.
 
-    Each file is hashed where it is read and the hashes are folded by mergeable
-    aggregates; file order and names of the parts do not matter. Files over 2 GiB cannot
-    be read whole: use ``by_content=False`` to hash name, length and change time instead.
+    Files are read by ranges of ``range_bytes``, so a file of any size is hashed by many tasks; its
+    digest is the root of the tree over its ranges, for a file of one range the SHA-256 of its content. The
+    files' digests are folded by mergeable aggregates; file order and names of the parts do not matter.
+    ``by_content=False`` hashes name, length and change time instead.
     """
-    files = spark.read.format("binaryFile").load(path)
     if by_content:
-        digest = F.sha2("content", 256)
+        files = ranges.merkle_roots(ranges.range_digests(spark, path, range_bytes), range_bytes)
+        digest = F.col("root")
     else:
+        files = spark.read.format("binaryFile").load(path)
         digest = F.sha2(F.concat_ws("|", "path", "length", "modificationTime"), 256)
     # Four independent 64-bit words of each digest, summed: unlike exclusive or, equal parts add up.
     words = [F.sum(F.xxhash64(digest, F.lit(i)).cast("decimal(38,0)")) for i in range(4)]
@@ -158,18 +187,19 @@ def run_gated(
     load: Callable[[], dict],
     incremental: bool = True,
     by_content: bool = True,
+    range_bytes: int = ranges.RANGE_BYTES,
 ) -> dict:
     """Run ``load`` unless the source is unchanged and all targets exist; always write the audit.
 
     ``load`` returns figures for the audit record (rows, warnings). On success the
     fingerprint is kept for the next run. Each run has an id and a record of its own under
-    ``audit_path``, see ``run_history``. ``by_content=False`` suits files too large to hash whole.
+    ``audit_path``, see ``run_history``. ``by_content=False`` looks at names and change times only.
     """
     started = dt.datetime.now(dt.timezone.utc)
     record = {"run_id": f"{started:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}", "source": source,
               "mode": "incremental" if incremental else "full", "started_at": started.isoformat(), "status": "running"}
     try:
-        fingerprint = content_fingerprint(spark, source, by_content)
+        fingerprint = content_fingerprint(spark, source, by_content, range_bytes)
         last = read_record(spark, state_path) if incremental else None
         unchanged = last is not None and last.get("last_hash") == fingerprint
         if unchanged and all(stored(spark, t) is not None for t in targets):

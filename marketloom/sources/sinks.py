@@ -67,13 +67,15 @@ def append_new(
 ) -> int:
     """Append rows not stored yet and return their number; a repeated load adds nothing.
 
-    With a ``key``, rows whose key is stored are left out; only the key column of the table is
-    read for it. Equal keys inside one load are all stored. Rows without a key, and all rows
+    With a ``key``, rows whose key is stored are left out. An index of the table's files tells which of
+    them may hold a key of the load (see ``keyindex``); only these are opened, their key column only. Equal keys inside one load are all stored. Rows without a key, and all rows
     of a table without one, are subtracted as a multiset, so equal rows are kept as often as they occur;
     ``audit`` columns (load time, file) take no part in that comparison. Equal rows have equal
     values of ``within``, the table's incremental column, so only the stored rows between the
     least and the greatest value of the load are read for it.
     """
+    from marketloom.sources import keyindex
+
     spark = df.sparkSession
     existing = stored(spark, path)
     new = df
@@ -86,12 +88,15 @@ def append_new(
             bounded = existing.where(inside)
         if key:
             keyed, bare = F.col(key).isNotNull(), F.col(key).isNull()
-            fresh = df.where(keyed).join(existing.where(keyed).select(key), key, "left_anti").select(*df.columns)
+            known = keyindex.stored_keys(spark, path, existing, df.where(keyed).select(key).distinct(), key)
+            fresh = df.where(keyed).join(known, key, "left_anti").select(*df.columns)
             new = fresh.unionByName(_not_stored(df.where(bare), bounded.where(bare), audit))
         else:
             new = _not_stored(df, bounded, audit)
     written = Observation()
     new.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    if key:
+        keyindex.catch_up(spark, path, key)
     return written.get["rows"]
 
 
