@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import edge, labels, percent, rounded
 from marketloom.operators import assertions, quality, ranking, summaries
-from marketloom.plans import layouts, marts, quality_core, quality_geo, reports, staging, star
+from marketloom.plans import geo_load, layouts, marts, quality_core, quality_geo, reports, staging, star
 from marketloom.plans import table_tests as tests
 from marketloom.session import scratch_path
-from marketloom.sources import files, ingest, sinks
+from marketloom.sources import files, ingest, keyindex, ranges, sinks
 from marketloom.sources import testtables as raw
 from marketloom.sources.registry import DATASETS, DATE_COLUMNS
-from marketloom.streaming import incremental
+from marketloom.streaming import history, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,33 +424,63 @@ def incremental_lookback(spark, sf):
     )
 
 
-def refreshed_twice(spark, orders, build, keys, label):
-    """Mart after a first run on early orders and a second run on all orders."""
-    path = scratch_path(spark, label)
-    incremental.refresh(build, first_load(orders), path, "purchase_date", keys)
-    return incremental.refresh(build, orders, path, "purchase_date", keys)
+def refreshed_twice(spark, orders, details, build, keys, label):
+    """Mart after a first run on early orders and a second run on all orders.
+
+    ``details`` (items, reviews) land before each run, under the month of their order;
+    ``build(orders, landed, cut)`` makes the mart.
+    """
+    path, landed = scratch_path(spark, label), scratch_path(spark, f"{label}-details")
+    early = first_load(orders)
+
+    def run(known, batch):
+        history.land_by_month(batch, known, landed, "order_id", "purchase_date")
+        return incremental.refresh(
+            lambda recent, cut: build(recent, spark.read.parquet(landed), cut), known, path, "purchase_date", keys
+        )
+
+    run(early, details.join(early.select("order_id"), "order_id", "left_semi"))
+    return run(orders, details.join(early.select("order_id"), "order_id", "left_anti"))
 
 
 @query
 def merge_geo_by_key(spark, sf):
-    def build(orders, cut):
+    def build(orders, items, cut):
         return marts.geo_performance(
-            orders, cut(stg_order_items(spark, sf), "order_id"), cut(stg_customers(spark, sf), "customer_id"),
+            orders, cut(items, "order_id"), cut(stg_customers(spark, sf), "customer_id"),
             stg_geolocation(spark, sf), raw.state_meta(spark, sf),
         )
 
-    return refreshed_twice(spark, stg_orders(spark, sf), build, ["state_code", "order_month"], "geo")
+    return refreshed_twice(
+        spark, stg_orders(spark, sf), stg_order_items(spark, sf), build, ["state_code", "order_month"], "geo"
+    )
 
 
 @query
 def merge_logistics_by_key(spark, sf):
-    def build(orders, cut):
+    def build(orders, reviews, cut):
         return marts.logistics_performance(
-            orders, cut(stg_reviews(spark, sf), "order_id"), cut(stg_customers(spark, sf), "customer_id"),
+            orders, cut(reviews, "order_id"), cut(stg_customers(spark, sf), "customer_id"),
             stg_geolocation(spark, sf),
         )
 
-    return refreshed_twice(spark, stg_orders(spark, sf), build, ["customer_state", "order_month"], "logistics")
+    return refreshed_twice(
+        spark, stg_orders(spark, sf), stg_reviews(spark, sf), build, ["customer_state", "order_month"], "logistics"
+    )
+
+
+@query
+def landed_items(spark, sf):
+    """Items per month of their order, as landed in two batches; items of unknown orders have no month."""
+    orders, items = stg_orders(spark, sf), stg_order_items(spark, sf)
+    early = first_load(orders)
+    path = scratch_path(spark, "landed")
+    history.land_by_month(items.join(early.select("order_id"), "order_id", "left_semi"), early, path, "order_id", "purchase_date")
+    later = orders.where(F.col("order_id") % 10 != 0)
+    history.land_by_month(items.join(early.select("order_id"), "order_id", "left_anti"), later, path, "order_id", "purchase_date")
+    return spark.read.parquet(path).groupBy("order_month").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("item_total").cast("double").alias("revenue")
+    )
 
 
 @query
@@ -464,6 +494,20 @@ def append_new_orders(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def append_opened_files(spark, sf):
+    """Three loads of orders and whether the key index let them open old files: new keys, none; a repeated load, some."""
+    orders = stg_orders(spark, sf)
+    middle = orders.agg(F.max("order_id")).first()[0] // 2
+    path = scratch_path(spark, "append")
+    loads = []
+    for load, rows in (("first", orders.where(F.col("order_id") <= middle)), ("new_keys", orders.where(F.col("order_id") > middle)), ("repeated", orders)):
+        table = sinks.stored(spark, path)
+        opened = [] if table is None else keyindex.files_to_open(spark, path, table, rows.select("order_id"), "order_id")
+        loads.append((load, sinks.append_new(rows, path, "order_id"), bool(opened)))
+    return spark.createDataFrame(loads, "load STRING, rows_added BIGINT, opened_old_files BOOLEAN")
+
+
 @query
 def append_new_items(spark, sf):
     """The same for items, which have no unique key: equal rows are kept as often as they occur."""
@@ -491,14 +535,14 @@ def append_null_keys(spark, sf):
 
 @query
 def merge_null_month(spark, sf):
-    """Order counts per customer merged in two runs; orders without a month keep a partition of their own."""
+    """Even orders, then all of them merged by key; orders without a month keep a partition of their own."""
     orders = stg_orders(spark, sf).withColumn(
         "order_month", F.when(F.col("order_id") % 11 != 0, F.trunc("purchase_date", "MM"))
     )
     rows = orders.select("order_id", "order_status", "order_month")
     path = scratch_path(spark, "merge")
     incremental.upsert(rows.where("order_id % 2 = 0"), path, ["order_id"], "order_month")
-    incremental.upsert(rows.where("order_id % 3 = 0"), path, ["order_id"], "order_month")
+    incremental.upsert(rows, path, ["order_id"], "order_month")
     return spark.read.parquet(path).select("order_id", "order_status", "order_month")
 
 
@@ -633,7 +677,8 @@ def source_hash_gate(spark, sf):
             sinks.full_refresh(points, target_path)
             return {"rows_raw": spark.read.parquet(target_path).count()}
 
-        return ingest.run_gated(spark, source, f"{folder}/state", f"{folder}/audit", [target_path], load)
+        # ranges far smaller than a file, so that each file is hashed as a tree
+        return ingest.run_gated(spark, source, f"{folder}/state", f"{folder}/audit", [target_path], load, range_bytes=1 << 14)
 
     runs = [("first", run(target)), ("repeated", run(target)), ("target_missing", run(f"{target}-new"))]
     sinks.export_csv(raw.raw_geolocation(spark, sf).where("geolocation_lat < 5.3"), source)
@@ -645,6 +690,54 @@ def source_hash_gate(spark, sf):
     )
 
 
+@query
+def read_csv_quoted(spark, sf):
+    """Reviews with line breaks and quotes in their text, written as CSV and read back by small byte ranges."""
+    note = F.concat(
+        F.lit('said "'), F.col("review_id").cast("string"), F.lit('", twice:\n"'), F.col("review_score").cast("string"), F.lit('"\n\n, end')
+    )
+    reviews = raw.raw_order_reviews(spark, sf).select(
+        F.col("review_id").cast("string"), F.col("order_id").cast("string"), F.when(F.col("order_id") % 3 != 0, note).alias("note")
+    )
+    path = scratch_path(spark, "reviews-csv")
+    sinks.export_csv(reviews, path)
+    return ranges.read_quoted(spark, path, range_bytes=1 << 13).drop("_source_file")
+
+
+@query
+def geography_load(spark, sf):
+    """Checked loads of a clean, a fatal and a doubtful source, and what stands in the tables after each."""
+    points, expect = raw.raw_geolocation(spark, sf), geo_expectations()
+    low, high, west, east = expect.box
+    inside = F.col("geolocation_lat").between(low, high) & F.col("geolocation_lng").between(west, east)
+    lost = F.when(F.col("geolocation_zip_code_prefix").cast("int") % 10 != 0, F.col("geolocation_state"))
+    folder = scratch_path(spark, "geography")
+    steps = []
+    for step, source in (("clean", points.where(inside)), ("fatal", points.withColumn("geolocation_state", lost)), ("doubtful", points)):
+        sinks.export_csv(source, f"{folder}/source")
+        try:
+            record = geo_load.load_geography(spark, f"{folder}/source", f"{folder}/tables", raw.state_meta(spark, sf), expect)
+            status, warnings = record["status"], len(record["warnings"])
+        except geo_load.LoadStopped:
+            status, warnings = "stopped", 0
+        stored = [spark.read.parquet(f"{folder}/tables/{t}").count() for t in ("raw_geolocation", "dim_geography")]
+        steps.append((step, status, *stored, warnings))
+    found = spark.createDataFrame(steps, "step STRING, status STRING, raw_rows BIGINT, dimension_rows BIGINT, warnings BIGINT")
+    return found.withColumn("audited_runs", F.lit(ingest.run_history(spark, f"{folder}/tables/_audit").count()))
+
+
+@query
+def dq_gate(spark, sf):
+    """Whether two suites let a run go on: one that holds most payment types to be errors, one on the orders' key."""
+    tables = raw_tables(spark, sf)
+    suites = {
+        "payments_strict": quality.run_checks(tables["payments"], "payments", [quality.InSet("payment_type", ("boleto", "voucher"))]),
+        "orders_keyed": quality.run_checks(tables["orders"], "orders", [quality.NotNull("order_id"), quality.Unique("order_id")]),
+    }
+    rows = [(name, quality.may_proceed(results)) for name, results in suites.items()]
+    return spark.createDataFrame(rows, "suite STRING, may_proceed BOOLEAN")
+
+
 # --- data quality ---------------------------------------------------------------------------
 
 TEST_STATES = tuple(f"NATION_{i}" for i in range(25))

@@ -70,8 +70,9 @@ def add(spark: SparkSession, path: str, key: T.StructField, files: Sequence[str]
         .groupBy("file", "block")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
-    # a file without any key has an entry without a filter
-    facts.join(bitmaps, "file", "left").write.parquet(f"{path}/{FOLDER}/load={uuid.uuid4().hex}")
+    # a file without any key, or any row, has an entry without a filter
+    listed = spark.createDataFrame([(name,) for name in names_of(files)], "file STRING")
+    listed.join(facts, "file", "left").join(bitmaps, "file", "left").write.parquet(f"{path}/{FOLDER}/load={uuid.uuid4().hex}")
 
 
 def files_to_open(spark: SparkSession, path: str, table: DataFrame, keys: DataFrame, key: str) -> list[str]:
@@ -84,7 +85,7 @@ def files_to_open(spark: SparkSession, path: str, table: DataFrame, keys: DataFr
     low, high = keys.agg(F.min(key), F.max(key)).first()
     if low is None:
         return []
-    listed = entries.select("file", "blocks", ((F.col("least") <= F.lit(high)) & (F.col("greatest") >= F.lit(low))).alias("meets")).collect()
+    listed = entries.select("file", "blocks", F.coalesce((F.col("least") <= F.lit(high)) & (F.col("greatest") >= F.lit(low)), F.lit(False)).alias("meets")).collect()
     known = {r["file"] for r in listed}
     unknown = [address for name, address in files.items() if name not in known]
     meeting = [r["file"] for r in listed if r["meets"] and r["file"] in files]

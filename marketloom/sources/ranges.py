@@ -42,7 +42,7 @@ def _opened(address: str):
 def list_ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """file, length, modified, start and size: a row per byte range of every file, dealt over the tasks.
 
-    An empty file has one empty range. Contents are not read.
+    An empty file has none. Contents are not read.
     """
     files = spark.read.format("binaryFile").load(path).select(
         F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified")

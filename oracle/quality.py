@@ -144,6 +144,9 @@ FRAGMENTS = {
 }
 
 
+_INSIDE = "WHERE geolocation_lat BETWEEN -35.0 AND 5.3 AND geolocation_lng BETWEEN -74.0 AND -28.0"
+
+
 def _geo_checks() -> str:
     none = ("0", "TRUE", "'0 of ' || n || ' rows'")
 
@@ -349,7 +352,34 @@ BODIES |= {
     "merge_null_month": """
         SELECT order_id, order_status,
                CASE WHEN order_id % 11 <> 0 THEN CAST(date_trunc('month', purchase_date) AS DATE) END AS order_month
-        FROM stg_orders WHERE order_id % 2 = 0 OR order_id % 3 = 0""",
+        FROM stg_orders""",
+    "landed_items": """
+        SELECT CASE WHEN o.purchase_date < DATE '2001-03-15' OR i.order_id % 10 <> 0
+                    THEN CAST(date_trunc('month', o.purchase_date) AS DATE) END AS order_month,
+               COUNT(*) AS items, CAST(SUM(i.item_total) AS DOUBLE) AS revenue
+        FROM stg_order_items i LEFT JOIN stg_orders o ON i.order_id = o.order_id GROUP BY 1""",
+    "append_opened_files": """
+        SELECT 'first' AS load, COUNT(*) FILTER (WHERE order_id <= middle) AS rows_added, FALSE AS opened_old_files
+        FROM stg_orders, (SELECT MAX(order_id) // 2 AS middle FROM stg_orders)
+        UNION ALL SELECT 'new_keys', COUNT(*) FILTER (WHERE order_id > middle), FALSE
+        FROM stg_orders, (SELECT MAX(order_id) // 2 AS middle FROM stg_orders)
+        UNION ALL SELECT 'repeated', 0, TRUE""",
+    "read_csv_quoted": """
+        SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(order_id AS VARCHAR) AS order_id,
+               CASE WHEN order_id % 3 <> 0 THEN 'said "' || review_id || '", twice:' || chr(10) || '"' || review_score || '"'
+                    || chr(10) || chr(10) || ', end' END AS note
+        FROM raw_order_reviews""",
+    "geography_load": f"""
+        SELECT 'clean' AS step, 'success' AS status, COUNT(*) FILTER ({_INSIDE}) AS raw_rows, d.n AS dimension_rows,
+               0 AS warnings, 3 AS audited_runs FROM raw_geolocation, (SELECT COUNT(*) AS n FROM dim_geography) d GROUP BY d.n
+        UNION ALL SELECT 'fatal', 'stopped', COUNT(*) FILTER ({_INSIDE}), d.n, 0, 3
+        FROM raw_geolocation, (SELECT COUNT(*) AS n FROM dim_geography) d GROUP BY d.n
+        UNION ALL SELECT 'doubtful', 'success', f.n, d.n, CAST(f.lat_box > 0 AS INT) + CAST(f.lng_box > 0 AS INT), 3
+        FROM geo_facts f, (SELECT COUNT(*) AS n FROM dim_geography) d""",
+    "dq_gate": """
+        SELECT 'payments_strict' AS suite, COUNT(*) FILTER (WHERE payment_type NOT IN ('boleto', 'voucher')) = 0 AS may_proceed
+        FROM raw_order_payments
+        UNION ALL SELECT 'orders_keyed', COUNT(*) = COUNT(DISTINCT order_id) FROM raw_orders""",
     "global_ntile_customers": """
         SELECT customer_id, CAST(spend AS DOUBLE) AS spend, CAST(NTILE(10) OVER (ORDER BY spend DESC, customer_id) AS INT) AS decile
         FROM (SELECT customer_id, SUM(item_total) AS spend

@@ -32,6 +32,7 @@ def top(source: str, keys: str, column: str, name: str, count_nulls: bool) -> st
 
 
 def titled(text: str) -> str:
-    """Every word between blanks with a capital, as far as SQL can say it."""
-    return f"""array_to_string(list_transform(string_split({text}, ' '),
-        lambda w: UPPER(LEFT(w, 1)) || LOWER(SUBSTRING(w, 2))), ' ')"""
+    """Every word with a capital; words end at blanks and at punctuation but the apostrophe."""
+    ends = r'''\s\[\](){}/|\\<>!?@"^#$&~_,.:;*%+\-'''
+    return f"""array_to_string(list_transform(regexp_extract_all({text}, '[^{ends}]*[{ends}]|[^{ends}]+$'),
+        lambda w: UPPER(LEFT(w, 1)) || LOWER(SUBSTRING(w, 2))), '')"""
