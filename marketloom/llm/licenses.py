@@ -11,13 +11,16 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from marketloom.llm.base import give_back, text_runs
 from marketloom.llm.license_rules import BASE, Rule, rules
 
 PART = 4_000_000  # bytes of a text handled at once
@@ -52,14 +55,36 @@ def _parts(text: bytes) -> Iterator[tuple[bytes, int]]:
     yield words[begin:], len(words) - begin
 
 
-def resolve(detections: list[tuple[int, int, int, str, float]]) -> list[tuple[int, int, int, str, float]]:
-    """Detections (-priority, first word, end, label, confidence) that no better one suppresses."""
-    kept: list[tuple[int, int, int, str, float]] = []
-    for d in sorted(set(detections), key=lambda d: (d[0], d[1] - d[2], d[1], d[3], -d[4])):
-        inside = any(k[1] <= d[1] and d[2] <= k[2] for k in kept)
-        around = any(d[1] <= k[1] and k[2] <= d[2] and k[0] < d[0] for k in kept)
-        if not inside and not around:
-            kept.append(d)
+def resolve(detections: Iterable[tuple[int, int, int, str, float]]) -> list[tuple[int, int, int, str, float]]:
+    """Detections (-priority, first word, end, label, confidence) that no better one suppresses.
+
+    Of what is kept no detection lies inside another, so ordered by their first words they are ordered by
+    their ends, too, and one look at a neighbour tells whether a detection lies inside a kept one or around
+    one. Detections of one priority are first held against the kept ones of higher priority; those
+    left suppress each other by containment alone, seen in one sweep.
+    """
+    groups = defaultdict(list)
+    for d in set(detections):
+        groups[d[0]].append(d)
+    starts, ends, kept = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    for priority in sorted(groups):
+        group = sorted(groups[priority], key=lambda d: (d[1], -d[2], d[3], -d[4]))
+        first, end = (np.array([d[k] for d in group], np.int64) for k in (1, 2))
+        if len(starts):
+            before, after = np.searchsorted(starts, first, "right") - 1, np.searchsorted(starts, first, "left")
+            inside = (before >= 0) & (ends[np.maximum(before, 0)] >= end)
+            around = (after < len(starts)) & (ends[np.minimum(after, len(starts) - 1)] <= end)
+            left = np.flatnonzero(~(inside | around))
+            first, end = first[left], end[left]
+        else:
+            left = np.arange(len(group))
+        if len(left):
+            reached = np.concatenate(([np.iinfo(np.int64).min], np.maximum.accumulate(end)[:-1]))
+            alone = np.flatnonzero(end > reached)
+            kept += [group[k] for k in left[alone]]
+            starts, ends = np.concatenate((starts, first[alone])), np.concatenate((ends, end[alone]))
+            order = np.argsort(starts, kind="stable")
+            starts, ends = starts[order], ends[order]
     return kept
 
 
@@ -74,17 +99,19 @@ def scan(text: str | None) -> dict:
         if present:
             words = set(listed)
             line = b" " + b" ".join(listed) + b" "
+            # places of all blanks: a place's word is the number of blanks before it
+            blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20).tolist()
             for phrase, label in BASE:
                 sought, at = f" {phrase} ".encode(), -1
                 while (at := line.find(sought, at + 1)) >= 0:
-                    first = line.count(b" ", 0, at)
+                    first = bisect_left(blanks, at)
                     if first < own_words:
                         base.append((n_words + first, label))
             for rule in (r for w in present for r in anchors[w] if r.words <= words):
                 for m in rule.pattern.finditer(line):
-                    first = line.count(b" ", 0, m.start())
+                    first = bisect_left(blanks, m.start())
                     if first < own_words:
-                        end = first + m.group().count(b" ")
+                        end = bisect_left(blanks, m.end(), first)
                         if "own" in rule.pattern.groupindex:
                             first = end - m["own"].count(b" ") - 1
                         detections.append((-rule.priority, n_words + first, n_words + end, rule.label, rule.confidence))
@@ -129,9 +156,11 @@ def scan_documents(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [scan(text) for text in batch.column(1).to_pylist()]
-            columns = [pa.array([f[name] for f in found], kind) for name, kind in _TYPES.items()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *_TYPES])
+            for begin, texts in text_runs(batch.column(1)):
+                found = [scan(text) for text in texts]
+                columns = [pa.array([f[name] for f in found], kind) for name, kind in _TYPES.items()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(texts)), *columns], ["doc_id", *_TYPES])
+        give_back()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {_SCHEMA}")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -91,6 +92,34 @@ def test_containment():
     assert [d[3] for d in kept] == ["a", "d"]
 
 
+def one_by_one(detections):
+    """Suppression as it is defined: best first, each against all that are kept."""
+    kept = []
+    for d in sorted(set(detections), key=lambda d: (d[0], d[1] - d[2], d[1], d[3], -d[4])):
+        inside = any(k[1] <= d[1] and d[2] <= k[2] for k in kept)
+        around = any(d[1] <= k[1] and k[2] <= d[2] and k[0] < d[0] for k in kept)
+        if not inside and not around:
+            kept.append(d)
+    return kept
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([-90, -80, -50]), st.integers(0, 12), st.integers(1, 6), st.sampled_from("ab"), st.sampled_from([0.5, 1.0])), max_size=14))
+def test_suppression(found):
+    detections = [(p, first, first + size, label, score) for p, first, size, label, score in found]
+    assert sorted(licenses.resolve(detections)) == sorted(one_by_one(detections))
+
+
+def test_long_repetitive_texts_take_linear_time():
+    phrase = "under the mit license "
+    licenses.scan(phrase)  # rules are compiled
+    began = time.process_time()
+    found = licenses.scan(phrase * 200_000)  # 4.4 MB
+    assert time.process_time() - began < 60
+    assert (found["n_words"], found["n_base"], found["first_word"], found["last_word"]) == (800_000, 200_000, 0, 799_996)
+    assert len(found["detections"]) >= 200_000 and found["labels"] == "mit"
+
+
 def test_rules():
     found = license_rules.rules()
     assert len(found) >= 300 and all(r.words for r in found)
