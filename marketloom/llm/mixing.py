@@ -143,8 +143,8 @@ def cuts(base: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
         .select(*LEVELS, F.col("_range").alias("last_range"), (F.col("rest") - F.col("through") + F.col("held")).alias("left"))
     )
     inside = (
-        ranked.join(last, [*LEVELS])
-        .where("_range = last_range")
+        # by leaf and range, so that a hot leaf is many keys
+        ranked.join(last.withColumnRenamed("last_range", "_range"), [*LEVELS, "_range"])
         .groupBy(*LEVELS, "_hash", "left")
         .agg(F.sum("_tokens").alias("held"))
     )
@@ -165,25 +165,25 @@ def _ranked(rows: DataFrame, bits: int, s: Settings) -> DataFrame:
 def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, source, ...) once per epoch that takes them.
 
-    All columns stay and ``mix_epoch`` (from 0) is added; columns of that name or of a name used
-    inside (_domain, _lang, _source, _hash, _range) are left out. Null names are the empty name, a null text has no
+    All columns stay and ``mix_epoch`` (from 0) is added; a column of that name is replaced. Null names are the empty name, a null text has no
     tokens. Rows of equal doc_id stand at one place of the order and are taken or left together.
     An empty table gives an empty result.
     """
     s = settings
     kept = [c for c in docs.columns if c != EPOCH]
-    inner = docs.drop(EPOCH, *LEVELS, "_hash", "_range")
+    used = {*LEVELS, "_hash", "_range", "whole", "rest", "last_range", "cut"}
+    clashing = {c: f"_kept_{i}" for i, c in enumerate(kept) if c.lower() in used or c.startswith("_kept_")}
+    inner = docs.drop(EPOCH).withColumnsRenamed(clashing)
     base = stored(with_leaf(inner, s).select("doc_id", *LEVELS, tokens(F.col("text")).alias("tokens")), "mixing-base")
     chosen, leaves, bits = cuts(base, s)
     chosen = chosen.select(*LEVELS, "whole", "rest", "last_range", "cut")
     if leaves <= s.broadcast_leaves:
         chosen = F.broadcast(chosen)
-    clashing = {c: f"_kept_{i}" for i, c in enumerate(kept) if c in ("whole", "rest", "last_range", "cut")}
-    rows = _ranked(with_leaf(inner, s).withColumnsRenamed(clashing).join(chosen, [*LEVELS]), bits, s)
+    rows = _ranked(with_leaf(inner, s).join(chosen, [*LEVELS]), bits, s)
     part = (F.col("rest") > 0) & (
         F.col("last_range").isNull() | (F.col("_range") < F.col("last_range")) | ((F.col("_range") == F.col("last_range")) & (F.col("_hash") <= F.col("cut")))
     )
     epochs = F.col("whole") + F.coalesce(part, F.lit(False)).cast("int")
     return rows.withColumn(
         EPOCH, F.explode(F.when(epochs > 0, F.sequence(F.lit(0), epochs - 1)).otherwise(F.array().cast("array<int>")))
-    ).select(*[F.col(clashing.get(c, c)).alias(c) for c in kept if c in inner.columns], EPOCH)
+    ).select(*[F.col(clashing.get(c, c)).alias(c) for c in kept], EPOCH)

@@ -89,7 +89,8 @@ def test_against_brute_force(spark, number):
                 rest = -(10**9)
     got = defaultdict(int)
     found = mixing.mix(docs, s)
-    assert found.columns == ["doc_id", "text", "lang", "source", "tokens", "whole", "mix_epoch"]
+    assert found.columns == ["doc_id", "text", "lang", "source", "tokens", "whole", "_hash", "mix_epoch"]
+    found = found.drop("_hash")  # kept, but a name that with_leaf's users may need
     for r in mixing.with_leaf(found, s).collect():
         got[(r["doc_id"], tuple(r[c] for c in mixing.LEVELS))] += 1
     assert dict(got) == {k: v for k, v in want.items() if v}
@@ -102,5 +103,13 @@ def test_shares_follow_weights(spark):
     assert abs(got["de"] - 300) <= 3 and abs(got["en"] - 300) <= 3
 
 
+def test_columns_of_inner_names_are_kept(spark):
+    names = ["_domain", "_lang", "_source", "_hash", "_range", "whole", "rest", "last_range", "cut", "_kept_3", "mix_epoch"]
+    docs = spark.createDataFrame([(i, "a b", "en", f"s{i % 3}", *[f"{n}{i}" for n in names]) for i in range(50)], ["doc_id", "text", "lang", "source", *names])
+    found = mixing.mix(docs, mixing.Settings(max_epochs=1, domains=2))
+    assert found.columns == ["doc_id", "text", "lang", "source", *names]
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in found.collect() for n in names[:-1]) and found.count() == 50
+
+
 def test_empty(spark):
     assert mixing.mix(frame(spark, [])).collect() == []
