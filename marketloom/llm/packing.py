@@ -2,10 +2,11 @@
 
 Pieces shorter than a sequence are dealt to parts of bounded size. Each part is packed by
 best-fit decreasing, and dual-feasible functions give a lower bound on its number of
-sequences. A part above its bound may do better with other pieces, and so may one whose bound is
-above its volume: long pieces that nothing here fills up. These parts exchange pieces: what lies in
-their sequences with room left, and in sequences less than half full anywhere, is dealt anew, to
-fewer and larger parts, and packed again, as long as that saves sequences.
+sequences; a part at its bound is certified to have the fewest. The same bound over the lengths of all
+pieces tells when the whole has the fewest: then nothing is dealt anew. Else parts exchange pieces: a part
+above its bound, and one whose bound is above its volume, since its long pieces may be filled up
+elsewhere. What lies in their sequences with room left, and in sequences less than half full anywhere, is dealt
+anew, to fewer and larger parts, and packed again, as long as that saves sequences.
 """
 
 from __future__ import annotations
@@ -159,7 +160,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     f is dual feasible if numbers that sum to the capacity at most have images that do, too; so the
     images of all lengths fill at least their sum over the capacity.
     """
-    counts = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64), capacity)
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int) -> int:
+    """The same from the number of pieces of every length."""
     x = np.arange(capacity + 1, dtype=np.int64)
     number, volume = np.cumsum(counts), np.cumsum(counts * x)
     best = -(-int(volume[-1]) // capacity)
@@ -188,9 +193,10 @@ def _packed(s: Settings):
         bins = np.array(bins, np.int64)
         table = group.select(["row", "length", "part"]).take(pa.array(order))
         room = np.array(left, np.int64)[bins]
-        wasteful = len(left) > min(bound, -(-int(lengths.sum()) // s.length))
+        wasteful = len(left) > bound or bound > -(-int(lengths.sum()) // s.length)
         loose = (room > 0) & wasteful | (2 * room > s.length)
-        for name, values in (("bin", bins), ("offset", np.array(places, np.int64)), ("open", loose)):
+        certified = np.full(len(bins), len(left) == bound)
+        for name, values in (("bin", bins), ("offset", np.array(places, np.int64)), ("open", loose), ("certified", certified)):
             table = table.append_column(name, pa.array(values))
         return table
 
@@ -202,19 +208,29 @@ def _packing(pieces: DataFrame, rows: int, number: int, s: Settings) -> DataFram
     parts = parts_for(rows, s.part_rows * 4 ** (number - 1))
     dealt = pieces.select("row", "length", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(parts)).alias("part"))
     done = dealt.groupBy("part").applyInArrow(
-        _packed(s), "row bigint, length bigint, part bigint, bin bigint, offset bigint, open boolean"
+        _packed(s), "row bigint, length bigint, part bigint, bin bigint, offset bigint, open boolean, certified boolean"
     )
     # round, part and bin in one number
     sequence = F.shiftleft(F.lit(number).cast("bigint"), 58) + F.shiftleft("part", 26) + F.col("bin")
-    return stored(done.withColumn("sequence_id", sequence).select("row", "length", "offset", "sequence_id", "open"), "packing-round")
+    return stored(done.withColumn("sequence_id", sequence).select("row", "length", "offset", "sequence_id", "open", "certified"), "packing-round")
 
 
 def _sequences(packed: DataFrame) -> int:
     return packed.where("offset = 0").count()
 
 
+def certified_whole(short: DataFrame, capacity: int) -> int:
+    """No packing of all these pieces has fewer sequences; from a count per length, as many as a sequence has places."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for row in short.groupBy("length").count().collect():
+        counts[row["length"]] = row["count"]
+    return bound_of_counts(counts, capacity)
+
+
 def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of ``docs``.
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset and certified of every piece of ``docs``.
+
+    ``certified`` tells whether the part that the piece was packed in last has provably the fewest sequences for its pieces.
 
     A null text is empty: its one piece holds the end id alone. Rows are packed one by one, also
     repeated ones and those with a null doc_id. An empty table gives an empty result.
@@ -230,23 +246,26 @@ def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     short = pieces.where(F.col("length") < s.length)
     now = _packing(short, short.count(), 1, s)
     fixed: list[DataFrame] = []
+    fewest, total = certified_whole(short, s.length), _sequences(now)
     for number in range(2, s.rounds + 1):
         loose = now.where("open")
         rows = loose.count()
-        if not rows:
+        if not rows or total <= fewest:
             break
         again = _packing(loose, rows, number, s)
-        if _sequences(again) >= _sequences(loose):
+        saved = _sequences(loose) - _sequences(again)
+        if saved <= 0:
             break
+        total -= saved
         fixed.append(now.where("NOT open"))
         now = again
     for part in fixed:
         now = now.union(part)
-    placed = now.select("row", "sequence_id", "offset")
+    placed = now.select("row", "sequence_id", "offset", "certified")
     whole = pieces.where(F.col("length") == s.length)
     return (
         pieces.where(F.col("length") < s.length)
         .join(placed, "row")
-        .select(*names, "sequence_id", "offset")
-        .union(whole.select(*names, -F.col("row") - 1, F.lit(0).cast("bigint")))
+        .select(*names, "sequence_id", "offset", "certified")
+        .union(whole.select(*names, -F.col("row") - 1, F.lit(0).cast("bigint"), F.lit(True)))
     )

@@ -59,6 +59,37 @@ def test_exchange_saves_sequences(spark):
     assert 40 <= exchanged <= alone
 
 
+def test_a_whole_at_its_bound_is_not_dealt_anew(spark, monkeypatch):
+    """Long pieces only: one to a sequence is the fewest, far above their volume, and the bound proves it."""
+    rows = [(i, "w " * (1100 + i)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "r", 1) for i, t in rows], SCHEMA)
+    rounds, real = [], packing._packing
+
+    def counted(pieces, number_of_rows, number, s):
+        rounds.append(number)
+        return real(pieces, number_of_rows, number, s)
+
+    monkeypatch.setattr(packing, "_packing", counted)
+    found = packing.pack(docs, packing.Settings(part_rows=10)).collect()
+    lengths = [r["length"] for r in found]
+    assert packing.lower_bound(np.array(lengths), 2048) == 60 > -(-sum(lengths) // 2048)
+    assert check(found, rows) == 60 and rounds == [1] and all(r["certified"] for r in found)
+
+
+def test_certificates(spark):
+    """What a part's certificate says holds: no packing of its pieces has fewer sequences."""
+    rng = np.random.default_rng(5)
+    rows = [(i, "w " * int(rng.integers(200, 1500))) for i in range(300)]
+    found = packing.pack(spark.createDataFrame([(i, t, "r", 1) for i, t in rows], SCHEMA), packing.Settings(part_rows=60)).collect()
+    number = check(found, rows)
+    lengths = sorted((r["length"] for r in found), reverse=True)
+    assert packing.lower_bound(np.array(lengths), 2048) <= number <= len(packing.best_fit(lengths, 2048)[2]) + 3
+    parts = defaultdict(list)
+    for r in found:
+        parts[r["sequence_id"] >> 26].append(r)
+    assert all(len({r["certified"] for r in part}) == 1 for part in parts.values())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 30), max_size=9), st.integers(30, 40))
 def test_lower_bound_never_exceeds_the_optimum(lengths, capacity):
