@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from marketloom.llm.base import parts_for, stored
 
-LARGEST = 1 << 20  # of an integer component, so that sums of impacts stay within 64 bits
+LARGEST = 1 << 20  # of a component in the index, so that sums of impacts stay within 64 bits; others are scored one by one
 
 
 @dataclass(frozen=True)
@@ -98,6 +98,22 @@ class Index:
         return np.flatnonzero(possible)
 
 
+def _wide_scores(out: dict[str, list], vectors: np.ndarray, ids: np.ndarray, asks: np.ndarray, wide: np.ndarray, k: int) -> None:
+    """Best candidates of the pairs with a component beyond ``LARGEST``, whose sums could leave the index's numbers.
+
+    Scores are whole numbers of any size here; only one that is among the best of its block must fit in 64 bits.
+    """
+    for number in np.flatnonzero(asks if wide[~asks].any() else asks & wide):
+        rows = np.flatnonzero(~asks & (ids != ids[number]) & (wide | wide[number]))
+        scores = (vectors[rows].astype(object) @ vectors[number].astype(object)).tolist() if len(rows) else []
+        for score, vec_id in sorted(zip(scores, ids[rows].tolist()), key=lambda x: (-x[0], x[1]))[:k]:
+            if not -(1 << 63) <= score < 1 << 63:
+                raise OverflowError(f"the score of {ids[number]} and {vec_id} does not fit in 64 bits")
+            out["query_id"].append(int(ids[number]))
+            out["vec_id"].append(vec_id)
+            out["score"].append(score)
+
+
 def _searched(s: Settings):
     """The best candidates of a block for each query of a group."""
 
@@ -109,7 +125,10 @@ def _searched(s: Settings):
         vectors = np.zeros((len(ids), int(widths.max(initial=1))), np.int64)
         vectors[np.arange(vectors.shape[1]) < widths[:, None]] = lists.combine_chunks().flatten().to_numpy()
         out = {"query_id": [], "vec_id": [], "score": []}
-        block, block_ids = vectors[~asks], ids[~asks]
+        wide = ((vectors > LARGEST) | (vectors < -LARGEST)).any(axis=1)
+        _wide_scores(out, vectors, ids, asks, wide, s.k)
+        block, block_ids = vectors[~asks & ~wide], ids[~asks & ~wide]
+        asks = asks & ~wide
         if len(block):
             index = Index(block, s.grades)
             order = np.argsort(block_ids, kind="stable")
@@ -130,14 +149,14 @@ def integers(vectors: DataFrame, scale: int) -> DataFrame:
     """vec_id and ``ints``, floor(scale * x) per component, of the vectors that take part.
 
     Vectors that are null or hold null or non-finite components, and rows without an id, take no part. A
-    component beyond ±2**20 after scaling is an error, since scores could leave 64 bits.
+    component beyond 64 bits after scaling is an error: its product with any other does not fit either.
     """
     x = F.col("embedding")
     usable = F.col("vec_id").isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
 
     def whole(v):
         scaled = F.floor(v.cast("double") * scale)
-        return F.when(F.abs(v.cast("double") * scale) <= LARGEST, scaled).otherwise(F.raise_error(F.lit("component too large for exact scores")).cast("bigint"))
+        return F.when(F.abs(v.cast("double") * scale) < float(1 << 63), scaled).otherwise(F.raise_error(F.lit("component beyond 64 bits")).cast("bigint"))
 
     return vectors.where(usable).select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform("embedding", whole).alias("ints"))
 

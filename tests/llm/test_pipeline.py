@@ -91,6 +91,21 @@ def test_edges(spark):
         assert stage(spark, empty, SF_DIR).collect() == []
 
 
+def test_every_stage_keeps_columns_of_any_name(spark):
+    """Extra columns with names that stages use inside go through all stages but the last unchanged."""
+    names = ["_hash", "_range", "_domain", "_lang", "_source", "_row", "_predicted", "node", "whole", "cut"]
+    rows = [(i, f"word{i} " * 30, "en", f"s{i % 3}", 9, *[f"{n}-{i}" for n in names]) for i in range(40)]
+    rows += [(None, None, None, None, None, *[None] * len(names)), (90, "", "en", "s1", 0, *[None] * len(names))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF_DIR)
+        assert after.columns == docs.columns
+        kept = after.where("doc_id < 90").collect()
+        assert all(r[n] == f"{n}-{r['doc_id']}" for r in kept for n in names)
+    assert pipeline.STAGES[-1][1](spark, docs, SF_DIR).where("piece = 0").count() == len(rows)
+
+
 def test_rows_are_decided_one_by_one(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     one, two, three = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "red green blue black white grey")

@@ -64,6 +64,18 @@ def test_few_candidates_are_left_to_exact_scores():
         assert set(np.argsort(-scores, kind="stable")[:5]) <= set(left) and len(left) <= 600
 
 
-def test_large_component_is_an_error(spark):
-    with pytest.raises(Exception, match="too large"):
-        result(spark, [(0, [1e9]), (1, [1.0])], 1)
+def test_large_components_are_scored_exactly(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=3).round(1).astype(np.float32).tolist()) for i in range(40)]
+    rows += [(50, [5000.0, 1.0, 0.0]), (51, [-(2.0**17), 0.5, 0.25]), (55, [2.0**20, -(2.0**20), 0.0]), (60, [5000.0, 1.0, 0.0]), (61, [2.0**26, 0.0, 0.0])]
+    for block in (6, 8192):
+        assert result(spark, rows, 5, block=block) == brute(rows, 5)
+
+
+def test_only_a_score_beyond_64_bits_is_an_error(spark):
+    fits = [(0, [2.0**40, 0.0]), (1, [0.0, 2.0**40]), (2, [1.0, 1.0])]
+    assert result(spark, fits, 1) == brute(fits, 1)
+    with pytest.raises(Exception, match="does not fit in 64 bits"):
+        result(spark, [(0, [1e12]), (1, [1e12])], 1)
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        result(spark, [(0, [1e20]), (1, [1.0])], 1)
