@@ -142,9 +142,10 @@ def cuts(base: DataFrame, s: Settings) -> tuple[DataFrame, int, int]:
         .where("through > rest AND through - held <= rest")
         .select(*LEVELS, F.col("_range").alias("last_range"), (F.col("rest") - F.col("through") + F.col("held")).alias("left"))
     )
+    # one row per leaf: sent to the rows of a hot leaf instead of gathering them
+    ranges = last.withColumnRenamed("last_range", "_range")
     inside = (
-        # by leaf and range, so that a hot leaf is many keys
-        ranked.join(last.withColumnRenamed("last_range", "_range"), [*LEVELS, "_range"])
+        ranked.join(F.broadcast(ranges) if size[0] <= s.broadcast_leaves else ranges.repartition(*LEVELS, "_range"), [*LEVELS, "_range"])
         .groupBy(*LEVELS, "_hash", "left")
         .agg(F.sum("_tokens").alias("held"))
     )
