@@ -227,3 +227,22 @@ def test_a_rule_that_fails_on_some_row_is_one_failed_check(spark):
     assert got["not_null", "c"]["rows_affected"] == 1
     assert got["business_rule:readable", "multiple"]["detail"] == "cannot be evaluated: CAST_INVALID_INPUT"
     assert got["business_rule:short", "multiple"]["passed"]
+
+
+def test_only_a_failing_value_is_a_failed_rule(spark):
+    """A job that dies for another reason ends the suite instead of failing its rules."""
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from marketloom.operators import quality
+
+    rows = spark.createDataFrame([("1",), ("x",)], "v string")
+    rules = [quality.Rule("number", "CAST(v AS INT) > 0"), quality.Rule("text", "v IS NOT NULL")]
+    assert sorted(bool(r["passed"]) for r in quality.run_checks(rows, "t", rules).collect()) == [False, True]
+
+    @F.udf("string")
+    def lost(v):
+        raise RuntimeError("this is no matter of a rule")
+
+    with pytest.raises(PySparkException, match="no matter of a rule"):
+        quality.run_checks(rows.withColumn("v", lost("v")), "t", rules[1:]).collect()
