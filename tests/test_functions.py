@@ -117,3 +117,14 @@ def test_amount_out_of_range_is_an_error(spark):
     assert one(spark, money("t"), t="NaN") is None
     with pytest.raises(Exception, match="out of range"):
         one(spark, money("t"), t="12345678901234567.00")
+
+
+def test_words_begin_behind_blanks_and_punctuation(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.functions.text import title_words
+
+    rows = [("santa barbara d'oeste", "Santa Barbara D'oeste"), ("mogi-guacu", "Mogi Guacu"), ("são (joão) del rei/MG", "São (João) Del Rei/Mg"),
+            ("st. john's_bay", "St. John's_Bay"), ("", ""), (None, None), ("  a,b", "  A,B")]
+    df = spark.createDataFrame(rows, "c string, want string").select(title_words(F.col("c"), "-").alias("got"), "want")
+    assert [(r["got"], r["got"] == r["want"]) for r in df.collect()] == [(want, True) for _, want in rows]
