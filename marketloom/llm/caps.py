@@ -6,7 +6,9 @@ random rotation a vector is cut in two halves, each half has its own codebook of
 vectors, and every pair of codewords is a direction. The cosine is the mean of the halves' sums, so
 all filters a vector passes are listed from two short sorted lists, without trying the others.
 Vectors of one label that share a filter are candidates; 64 signs of random projections rule
-most of them out, the rest is verified by cosine in double precision.
+most of them out, the rest is verified by cosine in double precision. A filter that many vectors pass is
+taken in blocks, and there, too, only pairs with similar signs go on; vectors with many of them in one
+block, such as near copies, are put in clusters and compared inside these.
 
 The height follows from the width, so that a vector of any width passes about as many filters;
 narrow vectors have fewer and wider caps. A vector that passes few filters has its best ones.
@@ -26,12 +28,14 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import pairing
 from marketloom.llm.base import stored
+from marketloom.llm.components import connected
 
 
 @dataclass(frozen=True)
 class Settings:
     """``words``: codewords of a half; ``apart``: signs in which a candidate pair may differ (at
-    cosine 0.93 one pair in 100,000 differs in more); ``small`` and ``block`` as in the pairing.
+    cosine 0.93 one pair in 100,000 differs in more); ``small``, ``block`` and ``many`` as in the pairing
+    (of two unrelated vectors in a cap about one pair in 30 has similar signs, so a block of 1,024 holds about 35).
     ``height`` and ``words`` hold as they are if a height is given; else the height follows from
     the width, and narrow vectors have fewer words. A vector has at least its ``least`` best filters."""
 
@@ -42,6 +46,7 @@ class Settings:
     apart: int = 20
     small: int = 16
     block: int = 1024
+    many: int = 128
     seed: int = 19
 
 
@@ -235,9 +240,11 @@ def link_near(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "node", "sketch", F.xxhash64("label", "width", "filter").alias("bucket")
     )
     found = pairing.members(rows, "caps-members")
-    clustered = pairing.clusters(found, s.small)
+    crowds = stored(pairing.crowds(found, s.small, s.block, s.apart, s.many).distinct(), "caps-crowds")
+    clustered = connected(crowds.where("NOT listed").select("a", "b")).select("node", F.col("root").alias("cluster"))
     likely = F.expr(f"bit_count(x.sketch ^ y.sketch) <= {s.apart}")
-    pairs = pairing.few_pairs(found, clustered, s.small, likely)
+    few = pairing.few_pairs(found, clustered, s.small, likely)
+    pairs = few.union(pairing.outside(crowds.where("listed").select("a", "b"), clustered)).distinct()
     for side in ("a", "b"):
         named = classes.select(*[F.col(c).alias(n) for c, n in (("node", side), ("unit", f"unit_{side}"), ("copies", f"copies_{side}"), ("label", f"label_{side}"))])
         pairs = pairs.join(named, side)

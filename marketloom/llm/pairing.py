@@ -4,10 +4,15 @@ Nodes that share a bucket are candidates. Buckets of few nodes give their pairs
 nodes of large buckets form clusters (connected over large buckets); a cluster is cut into
 blocks, and every two blocks meet in one task. A pair inside a cluster is left to its blocks, so
 each pair is looked at once.
+
+Where rows carry a sketch, a large bucket need not become one cluster: ``crowds`` lists its likely pairs and
+clusters only the nodes that have many likely partners in it, such as a group of near copies.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,6 +37,94 @@ def clusters(found: DataFrame, small: int) -> DataFrame:
     return connected(large.join(hubs, "bucket").select(F.col("node").alias("a"), "b")).select("node", F.col("root").alias("cluster"))
 
 
+def _crowded(apart: int, many: int):
+    """Likely pairs and crowd edges of the groups (bucket, low, high), which come one after another, ordered by node."""
+
+    def look(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sketch, block = group.column("sketch").to_numpy().view(np.uint64), group.column("block").to_numpy()
+        likely = np.bitwise_count(sketch[:, None] ^ sketch[None, :]) <= apart
+        if group.column("low")[0] != group.column("high")[0]:
+            likely &= block[:, None] != block[None, :]
+        np.fill_diagonal(likely, False)
+        crowded = likely.sum(axis=1) > many
+        i, j = np.nonzero(np.triu(likely & ~(crowded[:, None] & crowded[None, :])))
+        hubs, others, fresh = [], [], crowded.copy()
+        for hub in np.flatnonzero(crowded):
+            if not fresh[hub]:
+                continue
+            fresh[hub], reach = False, [hub]
+            while reach:
+                near = np.flatnonzero(likely[reach.pop()] & fresh)
+                fresh[near] = False
+                reach += near.tolist()
+                hubs += [hub] * len(near)
+                others += near.tolist()
+        listed = np.arange(len(i) + len(hubs)) < len(i)
+        return np.concatenate([i, np.array(hubs, np.int64)]), np.concatenate([j, np.array(others, np.int64)]), listed
+
+    def told(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found, waiting = [], 0
+        for begin, end in zip(starts, [*starts[1:], table.num_rows]):
+            a, b, listed = look(table.slice(begin, end - begin))
+            found.append((a + begin, b + begin, listed))
+            waiting += len(a)
+            if waiting > 1 << 18 or end == table.num_rows:
+                a, b, listed = (np.concatenate(c).astype(t) for c, t in zip(zip(*found), (np.int64, np.int64, bool)))
+                node = table.column("node").combine_chunks()
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b)), pa.array(listed)], ["a", "b", "listed"])
+                found, waiting = [], 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]) if held is not None else table
+            keys = [held.column(c).to_numpy() for c in ("bucket", "low", "high")]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+            if len(starts) > 1:  # the last group may go on in the next batch
+                yield from told(held.slice(0, starts[-1]), starts[:-1])
+                held = held.slice(starts[-1])
+        if held is not None:
+            yield from told(held, np.zeros(1, np.int64))
+
+    return run
+
+
+def crowds(found: DataFrame, small: int, size: int, apart: int, many: int) -> DataFrame:
+    """What buckets of more than ``small`` rows come to: a, b and ``listed``, with repeats.
+
+    A large bucket is cut into blocks of about ``size`` rows (node, sketch), and every two blocks meet. Nodes whose
+    sketches differ in at most ``apart`` bits are likely partners. A pair of which one node has up to
+    ``many`` likely partners there is listed, so a bucket lists at most ``many`` pairs a row and block. Nodes with more are a
+    crowd; for these the other rows are the edges of a forest over their likely pairs, of which
+    the clusters are made. So every likely pair is listed or lies inside one cluster.
+    """
+    parts = F.ceil(F.col("n") / size).cast("int")
+    rows = (
+        found.where(F.col("n") > small)
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "sketch", "block")
+    )
+    key = ["bucket", "low", "high"]
+    return (
+        rows.repartition(*key)
+        .sortWithinPartitions(*key, "node")
+        .mapInArrow(_crowded(apart, many), "a binary, b binary, listed boolean")
+        .where("a <> b")
+    )
+
+
+def outside(pairs: DataFrame, clustered: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes do not lie in one cluster."""
+    for side in ("a", "b"):
+        named = clustered.select(F.col("node").alias(side), F.col("cluster").alias(f"cluster_{side}"))
+        pairs = pairs.join(named, side, "left")
+    return pairs.where("cluster_a IS NULL OR cluster_b IS NULL OR cluster_a <> cluster_b").select("a", "b")
+
+
 def few_pairs(found: DataFrame, clustered: DataFrame, small: int, likely: Column | None = None) -> DataFrame:
     """Distinct pairs a < b of nodes that share a small bucket and no cluster. ``likely`` may
     rule pairs out by other columns of the rows, named x.* and y.*."""

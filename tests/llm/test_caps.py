@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from marketloom.llm import caps
+from marketloom.llm import caps, pairing
 
 SCHEMA = "vec_id long, embedding array<double>, label int, node string, n int, bucket int"
 
@@ -44,11 +44,11 @@ def vectors(rng):
     return out
 
 
-@pytest.mark.parametrize("small,block", [(16, 1024), (3, 10)])
-def test_against_brute_force(spark, small, block):
+@pytest.mark.parametrize("small,block,many", [(16, 1024, 128), (3, 10, 2), (1, 1000, 5), (3, 10, 1000)])
+def test_against_brute_force(spark, small, block, many):
     rows = vectors(np.random.default_rng(6))
     frame = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
-    found = caps.link_near(frame, caps.Settings(small=small, block=block)).collect()
+    found = caps.link_near(frame, caps.Settings(small=small, block=block, many=many)).collect()
     got, want = sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=str), brute(rows)
     assert sum(g != w for g, w in zip(got, want)) <= 2 and len(got) == len(want)  # a filter may miss a pair in 500 at the border
     assert sum(g[1] for g in got) <= sum(w[1] for w in want)
@@ -109,3 +109,52 @@ def test_wide_vectors_against_brute_force(spark):
     frame = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
     found = caps.link_near(frame).collect()
     assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=str) == brute(rows)
+
+
+def bucketed(spark, rng, rows):
+    """Rows of one bucket of near sketches (differing in up to 4 bits) and one of random sketches."""
+    near = [int(rng.integers(1 << 62))] * rows
+    near = [v ^ (1 << int(rng.integers(60))) ^ (1 << int(rng.integers(60))) for v in near]
+    far = [int(v) for v in rng.integers(-(1 << 63), (1 << 63) - 1, rows)]
+    out = [(b"n%04d" % k, v, 1, rows) for k, v in enumerate(near)] + [(b"f%04d" % k, v, 2, rows) for k, v in enumerate(far)]
+    return out, spark.createDataFrame(out, "node binary, sketch long, bucket long, n long")
+
+
+@pytest.mark.parametrize("size,batch", [(1000, 10000), (40, 10000), (40, 7)])
+def test_crowds_lose_no_likely_pair(spark, size, batch):
+    rows, frame = bucketed(spark, np.random.default_rng(11), 150)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = pairing.crowds(frame, 16, size, 20, 12).distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    mask = (1 << 64) - 1
+    likely = {(a, b) for a, x, i, _ in rows for b, y, j, _ in rows if a < b and i == j and ((x ^ y) & mask).bit_count() <= 20}
+    listed = {(bytes(r["a"]), bytes(r["b"])) for r in found if r["listed"]}
+    root = {}
+
+    def top(k):
+        while root.get(k, k) != k:
+            k = root[k]
+        return k
+
+    for r in found:
+        if not r["listed"]:
+            root[top(bytes(r["a"]))] = top(bytes(r["b"]))
+    assert listed <= likely and all((a, b) in listed or top(a) == top(b) for a, b in likely)
+    crowd = {top(b"n%04d" % k) for k in range(150)}
+    assert len(crowd) == 1 and all(top(k) == k for k, _, bucket, _ in rows if bucket == 2)  # only the near ones are a cluster
+    assert sum(a.startswith(b"f") for a, _ in listed) == sum(a.startswith(b"f") for a, _ in likely)
+
+
+def test_many_vectors_in_a_cap_are_no_cluster(spark):
+    """About 47 of 3,000 unrelated vectors pass each of 4,096 filters: none of these are clustered, the near pairs are found."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(3000, 64))
+    near = base[:100] + rng.normal(size=(100, 64)) * 0.2
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([base, near]))]
+    frame = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    s = caps.Settings(words=64, height=0.44)
+    found = {r["vec_id"]: r["component_id"] for r in caps.link_near(frame, s).select("vec_id", "component_id").collect()}
+    assert found == {i: i - 3000 if i >= 3000 else i for i in range(3100)}
