@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import edge, labels, percent, rounded
 from marketloom.operators import assertions, quality, ranking, summaries
-from marketloom.plans import geo_load, layouts, marts, quality_core, quality_geo, reports, staging, star
+from marketloom.plans import delivery_times, geo_load, layouts, marts, quality_core, quality_geo, reports, staging, star
 from marketloom.plans import table_tests as tests
 from marketloom.session import scratch_path
 from marketloom.sources import files, ingest, keyindex, ranges, sinks
@@ -469,6 +469,31 @@ def merge_logistics_by_key(spark, sf):
     )
 
 
+def stored_delivery_sketches(spark, sf):
+    """Monthly sketches after a first run on early orders and a second run that computes the lookback again."""
+    orders, path = stg_orders(spark, sf), scratch_path(spark, "delivery")
+
+    def run(known):
+        def build(recent, cut):
+            return delivery_times.monthly_sketches(recent, cut(stg_customers(spark, sf), "customer_id"))
+
+        return incremental.refresh(build, known, path, "purchase_date", ["customer_state", "order_month"])
+
+    run(first_load(orders))
+    return run(orders)
+
+
+@query
+def delivery_quantiles_by_state(spark, sf):
+    return delivery_times.quantiles_over(stored_delivery_sketches(spark, sf), ["customer_state"])
+
+
+@query
+def delivery_quantiles_by_year(spark, sf):
+    year = F.year("order_month").alias("order_year")
+    return delivery_times.quantiles_over(stored_delivery_sketches(spark, sf), [year])
+
+
 @query
 def landed_items(spark, sf):
     """Items per month of their order, as landed in two batches; items of unknown orders have no month."""

@@ -10,6 +10,8 @@ STATES = tuple(f"NATION_{i}" for i in range(25))
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 TYPES = labels.PAYMENT_TYPES
 STATUSES = labels.ORDER_STATUSES
+DELIVERY = """COUNT(*) AS delivered_orders, CAST(quantile_disc(delivery_days, 0.1) AS BIGINT) AS p10_delivery_days,
+    CAST(quantile_disc(delivery_days, 0.5) AS BIGINT) AS median_delivery_days, CAST(quantile_disc(delivery_days, 0.9) AS BIGINT) AS p90_delivery_days"""
 
 
 def _list(values) -> str:
@@ -344,6 +346,8 @@ BODIES |= {
              WHERE purchase_date < DATE '2001-03-15')""",
     "merge_geo_by_key": "SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue) FROM mart_geo_performance",
     "merge_logistics_by_key": "SELECT * FROM mart_logistics_performance",
+    "delivery_quantiles_by_state": f"SELECT customer_state, {DELIVERY} FROM order_logistics WHERE order_month IS NOT NULL GROUP BY 1",
+    "delivery_quantiles_by_year": f"SELECT CAST(year(order_month) AS INT) AS order_year, {DELIVERY} FROM order_logistics WHERE order_month IS NOT NULL GROUP BY 1",
     "append_new_orders": "SELECT * FROM stg_orders",
     "append_new_items": "SELECT * FROM stg_order_items",
     "append_null_keys": """
