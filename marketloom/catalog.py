@@ -108,11 +108,11 @@ def dim_date(spark, sf):
 
 @query
 def dim_geography(spark, sf):
-    # The hash key and the point struct are engine-specific; the point is shown as two columns.
+    # The point struct is engine-specific; it is shown as two columns.
     return (
         geography(spark, sf)
         .selectExpr("*", "geo_point.lon AS point_lon", "geo_point.lat AS point_lat")
-        .drop("geo_key", "geo_point")
+        .drop("geo_point")
     )
 
 

@@ -26,6 +26,7 @@ from marketloom.functions import (
     week_from_sunday,
     zero_filled,
 )
+from marketloom.functions.fingerprint import fingerprint
 from marketloom.functions.labels import (
     BOX,
     CALENDAR_DAYS,
@@ -102,7 +103,7 @@ def dim_geography(
     zips = zip_summary(clean_geolocation(raw, box)).withColumnRenamed("city", "city_normalized")
     lat, lng = F.col("latitude"), F.col("longitude")
     out = zips.join(state_table.drop("state_population"), "state_code", "left").select(
-        F.xxhash64(F.col("zip_code_prefix").cast("string")).alias("geo_key"),
+        fingerprint("CAST(zip_code_prefix AS STRING)").alias("geo_key"),
         "zip_code_prefix",
         zero_filled(F.col("zip_code_prefix"), 5).alias("zip_code_formatted"),
         rounded(lat, 6).alias("latitude"),

@@ -1,5 +1,5 @@
 from marketloom.functions import labels
-from oracle.sqlkit import money, r, titled
+from oracle.sqlkit import fingerprint, money, r, titled
 from oracle.staging import ZONE
 
 _HOLIDAYS = ", ".join(f"'{day}'" for day in labels.HOLIDAYS)
@@ -35,7 +35,8 @@ FRAGMENTS = {
         FROM (SELECT CAST(unnest(generate_series((SELECT MIN(purchase_date) FROM stg_orders),
                   (SELECT MAX(purchase_date) FROM stg_orders), INTERVAL 1 DAY)) AS DATE) AS full_date)""",
     "dim_geography": f"""
-        SELECT zip_code_prefix, LPAD(CAST(zip_code_prefix AS VARCHAR), 5, '0') AS zip_code_formatted,
+        SELECT {fingerprint("CAST(zip_code_prefix AS VARCHAR)")} AS geo_key,
+               zip_code_prefix, LPAD(CAST(zip_code_prefix AS VARCHAR), 5, '0') AS zip_code_formatted,
                {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude,
                longitude AS point_lon, latitude AS point_lat,
                {titled("REPLACE(city, '-', ' ')")} AS city,
