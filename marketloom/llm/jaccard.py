@@ -270,6 +270,7 @@ def join_similar(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     # n-gram sets of the classes that are still compared
     needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).union(clustered.select("node")).distinct()
+    needed = stored(needed, "jaccard-needed")
     sources = classes.join(needed, "node", "left_semi").select("doc_id").distinct()
     texts = rows.join(sources, rows["doc_id"].eqNullSafe(sources["doc_id"]), "left_semi")
     bodies = stored(

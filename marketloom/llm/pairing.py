@@ -199,7 +199,7 @@ def facts(links: DataFrame, within: DataFrame, classes: DataFrame, id_column: st
     )
     groups = connected(links.select("a", "b").union(within.where("b IS NOT NULL").select("a", "b")))
     smallest = groups.join(classes.select("node", id_column), "node").groupBy("root").agg(F.min(id_column).alias("group_id"))
-    grouped = groups.join(smallest, "root").select("node", "group_id")
+    grouped = stored(groups.join(smallest, "root").select("node", "group_id"), "pairing-groups")
     return (
         classes.select("node", F.col(id_column).alias("first_id"), "copies")
         .join(counts, "node", "left")

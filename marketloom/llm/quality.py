@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm import grams
-from marketloom.llm.base import Bags, Slice, labelled_sample, slices
+from marketloom.llm.base import Bags, Slice, give_back, labelled_sample, slices
 from marketloom.llm.scoring import SLICE_CHARS, held_out, scored, with_prediction
 
 HOLDOUT_MOD, HOLDOUT_REST = 5, 0
@@ -110,6 +110,7 @@ def probabilities(parts: Iterator[Slice], n: int, table: np.ndarray, bias: float
 def _scorer(docs: DataFrame, labels: DataFrame, s: Settings):
     sample = labelled_sample(docs, labels, "quality", HOLDOUT_MOD, HOLDOUT_REST, s.rows, s.max_chars)
     shared = docs.sparkSession.sparkContext.broadcast(train(sample, s))
+    give_back()
     return lambda parts, n: probabilities(parts, n, *shared.value, s)
 
 
