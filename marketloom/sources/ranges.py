@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 
 RANGE_BYTES = 64 << 20
 PIECE = 1 << 20  # bytes held at once
+AHEAD = 1 << 12  # bytes of the first piece where a line break is soon expected; each further piece doubles, up to PIECE
 FAN = 1024  # children of a node
 QUOTE, LF = b'"', b"\n"
 
@@ -39,17 +40,27 @@ def _opened(address: str):
     return system.open_input_file(path)
 
 
-def list_ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """file, length, modified, start and size: a row per byte range of every file, dealt over the tasks.
+def _listed(spark: SparkSession, path: str, range_bytes: int) -> tuple[DataFrame, int]:
+    """The ranges of every file, and over how many tasks they are dealt: as a shuffle has, or as there are ranges.
 
-    An empty file has none. Contents are not read.
+    The number is named because adaptive execution sees the size of these rows only, not of the bytes they
+    stand for, and would join all of them into one task.
     """
     files = spark.read.format("binaryFile").load(path).select(
         F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified")
     )
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint")))
     ranges = files.withColumn("start", starts).withColumn("size", F.least(F.lit(range_bytes).cast("bigint"), F.col("length") - F.col("start")))
-    return ranges.repartition("file", "start")
+    return ranges, max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges.count()))
+
+
+def list_ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """file, length, modified, start and size: a row per byte range of every file, dealt over the tasks.
+
+    An empty file has none. Contents are not read.
+    """
+    ranges, tasks = _listed(spark, path, range_bytes)
+    return ranges.repartition(tasks, "file", "start")
 
 
 # --- digests ---------------------------------------------------------------------------------
@@ -154,10 +165,13 @@ def _records_of(source, start: int, end: int, length: int, quoted: bool) -> Iter
     at = max(0, start - 1)
     if at < start and source.read_at(1, at) == QUOTE:
         quoted = not quoted
-    held, begun = [], start
+    held, begun, ahead = [], start, AHEAD
     inside = start == 0  # else the record that is under way belongs to an earlier range
     while at < length:
-        piece = source.read_at(min(PIECE, (end if at < end else length) - at), at)
+        if at < end:
+            piece = source.read_at(min(PIECE, end - at), at)
+        else:
+            piece, ahead = source.read_at(min(PIECE, ahead, length - at), at), 2 * ahead
         if not piece:
             break
         ends, quoted = record_ends(piece, quoted)
@@ -180,9 +194,9 @@ def _records_of(source, start: int, end: int, length: int, quoted: bool) -> Iter
 
 def _breaks_with_return(source, length: int) -> bool:
     """Whether the file's first line break is a carriage return with a line feed."""
-    at, last = 0, b""
+    at, last, ahead = 0, b"", AHEAD
     while at < length:
-        piece = source.read_at(min(PIECE, length - at), at)
+        piece, ahead = source.read_at(min(PIECE, ahead, length - at), at), 2 * ahead
         feed = piece.find(LF)
         if feed >= 0 or not piece:
             return (last + piece[:feed]).endswith(b"\r")
@@ -191,25 +205,26 @@ def _breaks_with_return(source, length: int) -> bool:
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flushed(file: str, rows: list[tuple[int, str]]) -> pa.RecordBatch:
-        columns = [pa.array([file] * len(rows)), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())]
+    def flushed(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
+        columns = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["file", "place", "record"])
 
+    rows, size = [], 0  # of as many ranges as make a batch
     for batch in batches:
         for row in batch.to_pylist():
-            rows, size = [], 0
-            with _opened(row["file"]) as source:
+            file = row["file"]
+            with _opened(file) as source:
                 returns = _breaks_with_return(source, row["length"])
                 for place, record in _records_of(source, row["start"], row["start"] + row["size"], row["length"], row["quoted"]):
                     if returns:
                         record = record.removesuffix(b"\r").replace(b"\r\n", b"\n")
-                    rows.append((place, record.decode("utf-8", "replace")))
+                    rows.append((file, place, record.decode("utf-8", "replace")))
                     size += len(record)
                     if size > 4 * PIECE:
-                        yield flushed(row["file"], rows)
+                        yield flushed(rows)
                         rows, size = [], 0
-            if rows:
-                yield flushed(row["file"], rows)
+    if rows:
+        yield flushed(rows)
 
 
 def read_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -218,11 +233,12 @@ def read_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
     Line breaks between quotes belong to the record; where a file's first line break is a carriage return with
     a line feed, those between quotes become line feeds, as in Spark's reader of whole files. Blank lines are left out. A quote that is never closed makes the rest of the file one record.
     """
-    ranges = list_ranges(spark, path, range_bytes).select("file", "length", "start", "size")
+    listed, tasks = _listed(spark, path, range_bytes)
+    ranges = listed.select("file", "length", "start", "size").repartition(tasks, "file", "start")
     counted = ranges.mapInArrow(_quotes, "file string, length bigint, start bigint, size bigint, odd int")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     stated = counted.withColumn("quoted", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1)
-    dealt = stated.select("file", "length", "start", "size", "quoted").repartition("file", "start")
+    dealt = stated.select("file", "length", "start", "size", "quoted").repartition(tasks, "file", "start")
     return dealt.mapInArrow(_records, "file string, place bigint, record string").where(F.length("record") > 0)
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.sources import files, ingest, ranges
 
@@ -59,6 +60,28 @@ def test_small_pieces(spark, tmp_path, monkeypatch):
         assert found == at_once
 
 
+def test_a_range_reads_little_beyond_its_end():
+    class Source:
+        data, read = b"id,text\n" + b'1,"a ""b"" c"\n' * 100_000, 0
+
+        def read_at(self, size, at):
+            self.read += size
+            return self.data[at : at + size]
+
+    source = Source()
+    found = list(ranges._records_of(source, 700_008, 700_008 + 140, len(source.data), False))
+    assert not ranges._breaks_with_return(source, len(source.data))
+    assert len(found) == 10
+    assert source.read < 3 * ranges.AHEAD  # a megabyte each before
+
+
+def test_ranges_are_dealt_over_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n" + '1,"a\nb"\n' * 1_000)
+    listed = ranges.list_ranges(spark, str(tmp_path), 64).select(F.spark_partition_id()).distinct()
+    found = ranges.read_records(spark, str(tmp_path), 64).select(F.spark_partition_id()).distinct()
+    assert listed.count() == found.count() == 8  # the session's shuffles have as many; one before
+
+
 def test_malformed_records_are_shown(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,text\n1,"two\nlines"\n2\n3,x,y\n')
     rows = {r["id"]: r["bad"] for r in ranges.read_quoted(spark, str(tmp_path), 4, malformed="bad").collect()}
