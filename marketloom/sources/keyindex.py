@@ -3,7 +3,8 @@
 Beside a table's files stands, for each of them, the least and the greatest key and a Bloom filter of
 all its keys. A load compares its keys with the index first and opens only the files that may
 hold one of them; what the filter takes falsely is found out there, by comparison with the keys themselves.
-So the cost of a load follows its own rows and the index, not the rows stored before it.
+So the cost of a load follows its own rows and the index, not the rows stored before it. A load of so many keys
+that comparing them with the index would cost more than reading the stored keys opens every file whose range it meets.
 
 The filter is cut into blocks of 32,768 bits, and a key sets all of its bits in one block, so a key is looked up
 by joining one row. All of it is done with built-in functions: hashes, bitmaps and joins.
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketloom.session import brief_shuffles
 from marketloom.sources.sinks import stored
 
 FOLDER = "_keys"
@@ -29,6 +31,7 @@ BLOCK_BITS = 1 << 15  # of one bitmap of Spark's bitmap functions
 BITS_PER_KEY = 24
 PROBES = 16  # bits per key; with 24 bits for each key about one key in 100,000 is taken falsely
 LISTED_FILES = 100_000  # the index's file ranges are broadcast up to so many, about 10 MB
+PROBED = 1 << 24  # pairs of a key and a file that are compared in any case; more, only as many as the files' keys
 
 
 def _block(key: str, blocks: Column) -> Column:
@@ -72,26 +75,34 @@ def add(spark: SparkSession, path: str, key: T.StructField, files: Sequence[str]
     )
     # a file without any key, or any row, has an entry without a filter
     listed = spark.createDataFrame([(name,) for name in names_of(files)], "file STRING")
-    listed.join(facts, "file", "left").join(bitmaps, "file", "left").write.parquet(f"{path}/{FOLDER}/load={uuid.uuid4().hex}")
+    with brief_shuffles(spark):
+        listed.join(facts, "file", "left").join(bitmaps, "file", "left").write.parquet(f"{path}/{FOLDER}/load={uuid.uuid4().hex}")
 
 
 def files_to_open(spark: SparkSession, path: str, table: DataFrame, keys: DataFrame, key: str) -> list[str]:
-    """Addresses of the files of ``table`` that may hold one of ``keys`` (column ``key``, no NULL)."""
+    """Addresses of the files of ``table`` that may hold one of ``keys`` (column ``key``, no NULL).
+
+    Every key is compared with every file whose range holds it. Where both loads and files cover
+    the same wide range, these pairs grow with their product; then reading the files' keys is less, and all of
+    these files are named.
+    """
     files = names_of(table.inputFiles())
     index = read_index(spark, path)
     if index is None:
         return list(files.values())
     entries = index.groupBy("file").agg(F.first("least").alias("least"), F.first("greatest").alias("greatest"), F.first("blocks").alias("blocks"))
-    low, high = keys.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return []
-    listed = entries.select("file", "blocks", F.coalesce((F.col("least") <= F.lit(high)) & (F.col("greatest") >= F.lit(low)), F.lit(False)).alias("meets")).collect()
+    with brief_shuffles(spark):
+        low, high, number = keys.agg(F.min(key), F.max(key), F.count(key)).first()
+        if low is None:
+            return []
+        listed = entries.select("file", "blocks", F.coalesce((F.col("least") <= F.lit(high)) & (F.col("greatest") >= F.lit(low)), F.lit(False)).alias("meets")).collect()
     known = {r["file"] for r in listed}
     unknown = [address for name, address in files.items() if name not in known]
     meeting = [r["file"] for r in listed if r["meets"] and r["file"] in files]
     if not meeting:
         return unknown
-    if len(meeting) > LISTED_FILES:
+    held = sum(r["blocks"] for r in listed if r["meets"]) * BLOCK_BITS / BITS_PER_KEY
+    if len(meeting) > LISTED_FILES or number * len(meeting) > max(PROBED, held):
         return unknown + [files[f] for f in meeting]
     ranges = F.broadcast(entries.where((F.col("least") <= F.lit(high)) & (F.col("greatest") >= F.lit(low))))
     probed = (
@@ -100,7 +111,8 @@ def files_to_open(spark: SparkSession, path: str, table: DataFrame, keys: DataFr
         .join(index.select("file", "block", "bits"), ["file", "block"])
         .where(F.forall(_bits(key), lambda bit: _is_set(F.col("bits"), bit)))
     )
-    return unknown + [files[r["file"]] for r in probed.select("file").distinct().collect() if r["file"] in files]
+    with brief_shuffles(spark):
+        return unknown + [files[r["file"]] for r in probed.select("file").distinct().collect() if r["file"] in files]
 
 
 def stored_keys(spark: SparkSession, path: str, table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -116,5 +128,6 @@ def catch_up(spark: SparkSession, path: str, key: str) -> None:
     """Index the files of the table that have no entry yet."""
     table = spark.read.parquet(path)
     files, index = names_of(table.inputFiles()), read_index(spark, path)
-    known = set() if index is None else {r["file"] for r in index.select("file").distinct().collect()}
+    with brief_shuffles(spark):
+        known = set() if index is None else {r["file"] for r in index.select("file").distinct().collect()}
     add(spark, path, table.schema[key], [address for name, address in files.items() if name not in known])

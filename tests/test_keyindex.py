@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,37 @@ def test_keys_the_filter_takes_falsely_are_compared(spark, monkeypatch):
     assert append_new(keys(spark, 2500, 3500, True), path, "k") == 500
 
 
+def test_a_load_of_many_keys_opens_files_rather_than_pair_with_each(spark, monkeypatch):
+    """Keys and files over one wide range: their pairs would be the product of both."""
+    path = scratch_path(spark, "index")
+    append_new(keys(spark, 0, 4000, True), path, "k")
+    files, probed = spark.read.parquet(path).inputFiles(), []
+    bits = keyindex._bits
+    monkeypatch.setattr(keyindex, "PROBED", 100)
+    monkeypatch.setattr(keyindex, "_bits", lambda key: probed.append(key) or bits(key))
+    assert sorted(opened(spark, path, keys(spark, 4000, 12_000, True))) == sorted(files)
+    assert not probed
+    assert opened(spark, path, keys(spark, 4000, 4010, True)) == [] and probed
+    assert append_new(keys(spark, 2000, 12_000, True), path, "k") == 8000
+
+
+def test_an_append_leaves_no_shuffle_files(spark):
+    def left():
+        place = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return place.getAllBlocks().mkString("\n").count("shuffle_")
+
+    spark.sparkContext._jvm.System.gc()
+    path = scratch_path(spark, "index")
+    none = spark.range(50).select(F.lit(None).cast("bigint").alias("k"), F.col("id").alias("v"))
+    before = left()
+    for _ in range(2):
+        append_new(keys(spark, 0, 500).union(none), path, "k")
+    until = time.time() + 10
+    while left() > before and time.time() < until:  # they are removed in the background
+        time.sleep(0.1)
+    assert left() <= before
+
+
 def test_files_without_an_entry_are_opened_and_indexed(spark):
     path = scratch_path(spark, "index")
     append_new(keys(spark, 0, 100), path, "k")
