@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators import assertions
 from marketloom.operators.quality import (
@@ -206,6 +208,28 @@ def test_small_assertions(spark, people):
     assert [r[0] for r in assertions.unsegmented(clv).collect()] == ["u"]
 
 
+def shuffle_files(spark):
+    return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("\n").count("shuffle_")
+
+
+@pytest.mark.parametrize("run", [
+    lambda t: assertions.row_counts(t),
+    lambda t: run_table_tests(t, [TableTest(n, "unique", "id") for n in t]),
+])
+def test_tables_are_read_one_after_the_other(spark, run):
+    """While a table is counted, the shuffles of those before it are gone: in one plan they would all stay."""
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
+    before = shuffle_files(spark)
+    tables = {f"t{i}": spark.range(1000, numPartitions=2).withColumn("id", F.col("id") % 700).groupBy("id").count().drop("count") for i in range(4)}
+    rows = run(tables).collect()
+    assert len(rows) == 4
+    until = time.time() + 10
+    while shuffle_files(spark) > before and time.time() < until:  # they are removed in the background
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+
+
 def test_declared_tests_are_complete():
     tests = declared_tests()
     assert len(tests) == 109
