@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from marketloom.session import scratch_path
-from marketloom.sources.sinks import append_new, full_refresh, materialize, stored
+from marketloom import catalog
+from marketloom.session import scratch_path, shared_dir
+from marketloom.sources.sinks import append_new, full_refresh, materialize, slices_of, stored
 from marketloom.streaming.incremental import incremental_input, lookback_floor, merge_by_key, refresh, upsert
 
 SCHEMA = "state string, order_month date, n int"
@@ -186,3 +188,29 @@ def test_incremental_run_cuts_its_other_inputs(spark):
     refresh(build, events(spark, ("A", "2018-01-05"), ("B", "2018-03-05")), path, "day", ["state", "order_month"])
     refresh(build, events(spark, ("A", "2018-01-05"), ("B", "2018-03-05"), ("C", "2018-03-06")), path, "day", ["state", "order_month"])
     assert seen == [["A", "B", "C"], ["B", "C"]]
+
+
+def test_a_table_stored_in_slices_is_whole(spark):
+    """Months in groups, missing ones included; a second refresh replaces all of them."""
+    path = scratch_path(spark, "sliced")
+    days = spark.range(400).select("id", F.when(F.col("id") % 9 != 0, F.expr("date_add(DATE'2018-01-01', CAST(id AS INT))")).alias("day"))
+    rows = days.withColumn("month", F.trunc("day", "MM"))
+    for rounds, slices in ((rows, 5), (rows.where("id < 300"), 3)):
+        full_refresh(rounds, path, ["month"], ["id"], slices)
+        stored = spark.read.parquet(path).select("id", "day", "month")
+        assert sorted(map(str, stored.collect())) == sorted(map(str, rounds.collect()))
+    parts = slices_of(rows, "month", 5)
+    assert len(parts) == 5 and sum(p.count() for p in parts) == 400
+
+
+def test_stored_models_leave_only_their_tables(spark, sf_dir):
+    def stages():
+        folder = Path(shared_dir(spark).removeprefix("file:")) / "marketloom"
+        return {p.name for p in folder.iterdir() if p.name.startswith("stage-")}
+
+    shared_dir(spark)
+    scratch = scratch_path(spark, "here")
+    spark.range(1).write.parquet(scratch)
+    before = stages()
+    assert catalog.QUERIES["stored_models"](spark, sf_dir).count() == 18
+    assert stages() == before
