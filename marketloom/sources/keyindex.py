append_new_orders: key index sorts keys instead of their bits

Symptom: building the key index after a load spilled; one task sorted 16 rows for each key of a whole file, and files decided how tasks were cut.
Evidence: append_new_orders on 60 copies of sf0.1 (0.58 GB, 9.0 million orders), the profiler's session settings, own event log: spill 14,345 MB in memory and 766 MB on disk, all in the index of the first load; peak memory of a task 554 MB. the profiler at sf0.1 (quick): the index task read most, 369 MB of memory, and on the hot input one task had 141,306 of 141,307 rows; no spill at that size.
Fix: keys are dealt by file and block after their repeats are removed, every probe fills its own bitmap in one pass over the sorted keys, and the bitmaps of a block become one; files go by number instead of name. The entries written are the same.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 475 -> 385 s, shuffle 1.14 -> 1.14 GB, spill 0.46 -> 0.00 GB, read 0.99 -> 0.99 GB, longest task 15 -> 5 s, most memory of a task 1275 -> 336 MB; at 6 GB of input CPU 1957 -> 1244 s, shuffle 6.81 -> 6.82 GB, spill 5.03 -> 0.00 GB, read 5.97 -> 5.97 GB, longest task 78 -> 15 s, most memory of a task 1040 -> 539 MB; with hot keys, at 1 GB of input CPU 480 -> 383 s, shuffle 1.11 -> 1.11 GB, spill 0.46 -> 0.00 GB, read 0.95 -> 0.96 GB, longest task 13 -> 5 s, most memory of a task 1275 -> 336 MB.

@@ -38,8 +38,12 @@ def _block(key: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(0), F.col(key)), blocks).cast("int")
 
 
+def _bit(key: str, probe: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(probe + 1), F.col(key)), F.lit(BLOCK_BITS))
+
+
 def _bits(key: str) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(F.lit(i + 1), F.col(key)), F.lit(BLOCK_BITS)) for i in range(PROBES)])
+    return F.array(*[_bit(key, i) for i in range(PROBES)])
 
 
 def _is_set(bitmap: Column, bit: Column) -> Column:
@@ -57,26 +61,45 @@ def read_index(spark: SparkSession, path: str) -> DataFrame | None:
     return stored(spark, f"{path}/{FOLDER}")
 
 
-def add(spark: SparkSession, path: str, key: T.StructField, files: Sequence[str]) -> None:
-    """Index some files of the table at ``path``, reading their key column only."""
-    if not files:
-        return
+def entries_of(spark: SparkSession, key: T.StructField, files: Sequence[str]) -> DataFrame:
+    """The index's entries of some files, reading their key column only.
+
+    Keys are dealt by the block they set, not by file, so a task's share is even however large a file is. What
+    is sorted are the keys, not each of their bits: every probe fills a bitmap of its own, and the
+    bitmaps of a block become one after that.
+    """
     rows = spark.read.schema(T.StructType([key])).parquet(*files).select(F.col(key.name).alias("key"), F.col("_metadata.file_name").alias("file"))
     facts = rows.groupBy("file").agg(
         F.min("key").alias("least"),
         F.max("key").alias("greatest"),
         F.ceil(F.count("key") * BITS_PER_KEY / BLOCK_BITS).cast("int").alias("blocks"),
     )
-    placed = rows.where(F.col("key").isNotNull()).distinct().join(facts.select("file", "blocks"), "file")
+    # numbers stand for the names, which are far longer than a key
+    listed = spark.createDataFrame([(name, i) for i, name in enumerate(names_of(files))], "file STRING, number INT")
+    listed = listed.join(facts, "file", "left")
+    few = F.broadcast(listed) if len(files) <= LISTED_FILES else listed
+    held = rows.where(F.col("key").isNotNull()).join(few.select("file", "number", "blocks"), "file").select("number", "blocks", "key").distinct()
+    block, place = _block("key", F.col("blocks")), ["number", "block"]
+    placed = held.repartition("number", block).select("number", block.alias("block"), "key")
+    probes = placed.groupBy(*place).agg(*[F.bitmap_construct_agg(_bit("key", i)).alias(f"probe_{i}") for i in range(PROBES)])
     bitmaps = (
-        placed.select("file", _block("key", F.col("blocks")).alias("block"), F.explode(_bits("key")).alias("bit"))
-        .groupBy("file", "block")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        probes.select(*place, F.explode(F.array(*[f"probe_{i}" for i in range(PROBES)])).alias("bits"))
+        .groupBy(*place)
+        .agg(F.bitmap_or_agg("bits").alias("bits"))
     )
+    filled = bitmaps.join(few, "number").select("file", "least", "greatest", "blocks", "block", "bits")
     # a file without any key, or any row, has an entry without a filter
-    listed = spark.createDataFrame([(name,) for name in names_of(files)], "file STRING")
+    bare = listed.where(F.coalesce("blocks", F.lit(0)) == 0).drop("number")
+    return filled.unionByName(bare, allowMissingColumns=True)
+
+
+def add(spark: SparkSession, path: str, key: T.StructField, files: Sequence[str]) -> None:
+    """Index some files of the table at ``path``."""
+    if not files:
+        return
+    entries = entries_of(spark, key, files)
     with brief_shuffles(spark):
-        listed.join(facts, "file", "left").join(bitmaps, "file", "left").write.parquet(f"{path}/{FOLDER}/load={uuid.uuid4().hex}")
+        entries.write.parquet(f"{path}/{FOLDER}/load={uuid.uuid4().hex}")
 
 
 def files_to_open(spark: SparkSession, path: str, table: DataFrame, keys: DataFrame, key: str) -> list[str]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from marketloom.session import discard, scratch_path
@@ -105,3 +106,43 @@ def test_rows_without_keys_and_empty_loads(spark):
     assert append_new(none.limit(0), path, "k") == 0
     assert append_new(none.union(keys(spark, 0, 2)), path, "k") == 2
     assert append_new(none.union(keys(spark, 0, 2)), path, "k") == 0
+
+
+def test_index_sorts_keys_and_not_their_bits(spark, monkeypatch):
+    """A key has many bits: they are set where the keys of a block meet, and blocks are dealt, not whole files."""
+    path, written = scratch_path(spark, "index"), []
+    keys(spark, 0, 2000).write.parquet(path)
+    table = spark.read.parquet(path)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args, **kwargs: written.append(self._df))
+    keyindex.add(spark, path, table.schema["k"], table.inputFiles())
+    text = written[0]._jdf.queryExecution().executedPlan().toString()
+    above, construct, below = text.partition("bitmap_construct_agg")
+    assert construct and "Generate explode" not in below  # no row per bit comes in
+    assert "REPARTITION_BY_COL" in below and "SortMergeJoin" not in below
+
+
+@pytest.mark.parametrize("hashed", [False, True])
+def test_index_holds_the_bits_of_every_key(spark, hashed):
+    """Several blocks in a file, repeated and missing keys, a file without any key and one without rows."""
+    path = scratch_path(spark, "index")
+    many = keys(spark, 0, 4000, hashed)
+    hot = many.limit(1).crossJoin(spark.range(500)).drop("id")
+    none = many.limit(30).withColumn("k", F.lit(None).cast(many.schema["k"].dataType))
+    many.unionByName(hot).unionByName(none).coalesce(1).write.parquet(path)
+    none.coalesce(1).write.mode("append").parquet(path)
+    many.limit(0).coalesce(1).write.mode("append").parquet(path)
+    table = spark.read.parquet(path)
+    files = table.inputFiles()
+    keyindex.add(spark, path, table.schema["k"], files)
+    index = keyindex.read_index(spark, path).collect()
+    assert {r["file"] for r in index} == set(keyindex.names_of(files)) and len(files) == 3
+    whole = [r for r in index if r["bits"] is not None]
+    assert sorted(r["block"] for r in whole) == list(range(whole[0]["blocks"])) and whole[0]["blocks"] == -(-4500 * 24 // (1 << 15))
+    low, high = table.agg(F.min("k"), F.max("k")).first()
+    assert {(r["least"], r["greatest"]) for r in whole} == {(low, high)}
+    assert all(r["least"] is None and r["block"] is None for r in index if r["bits"] is None) and len(index) == len(whole) + 2
+    expected = {}
+    for r in many.select(keyindex._block("k", F.lit(whole[0]["blocks"])).alias("block"), keyindex._bits("k").alias("bits")).collect():
+        expected.setdefault(r["block"], set()).update(r["bits"])
+    for r in whole:
+        assert {8 * i + j for i, byte in enumerate(r["bits"]) for j in range(8) if byte >> j & 1} == expected[r["block"]]
