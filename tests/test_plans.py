@@ -42,6 +42,13 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "IsNotNull(l_orderkey)" in items and "IsNotNull(l_partkey)" in items
 
 
+def test_points_are_read_once_where_their_middle_is_not_used(shuffled, sf_dir):
+    scans = lambda df: sum("FileScan parquet" in line and "event_type" in line or "FileScan parquet [event_id" in line for line in plan(df).splitlines())
+    customers = catalog.QUERIES["dim_customer"](shuffled, sf_dir)
+    assert scans(customers) == 2
+    assert scans(customers.select("customer_id", "state_code", "region")) == 1
+
+
 def test_distinct_counts_along_the_hierarchy_need_no_expand(shuffled, sf_dir):
     for name in ("mart_monthly_revenue", "mart_geo_performance", "mart_customer_lifetime_value"):
         assert "Expand" not in plan(catalog.QUERIES[name](shuffled, sf_dir))
